@@ -23,3 +23,8 @@ def round_to_minute(ts: Column) -> Column:
     return F.make_timestamp_ntz(
         F.year(moved), F.month(moved), F.day(moved), F.hour(moved), F.minute(moved), F.lit(0)
     )
+
+
+def moment(value) -> Column:
+    """A Python datetime as TIMESTAMP_NTZ."""
+    return F.lit(str(value)).cast("timestamp_ntz")

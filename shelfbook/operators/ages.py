@@ -212,6 +212,29 @@ def _mean(days: str, units: str) -> str:
     return f"{days} / CAST(nullif({units}, 0) AS DECIMAL(10,0))"
 
 
+def stored_ages(prefix: str, units: str) -> dict[str, str]:
+    """The five stored figures of a variant from its days on hand, days moved and median sum."""
+    on_hand, moved = f"{prefix}on_hand", f"{prefix}moved"
+    return {
+        age_name("inv_days", prefix): on_hand,
+        age_name("qty_days", prefix): f"CAST({moved} AS BIGINT)",
+        age_name("a_inv_age", prefix): _mean(on_hand, units),
+        # Half of a sum of two ages keeps a seventh decimal.
+        age_name("m_inv_age", prefix): (
+            f"CAST({prefix}middle * 5 AS DECIMAL(25,0)) * CAST(0.0000001 AS DECIMAL(7,7))"
+        ),
+        age_name("qty_age", prefix): _mean(moved, "abs(qty)"),
+    }
+
+
+def stored(rows: DataFrame, figures: dict[str, str]) -> DataFrame:
+    texts = [
+        f"{figures[name]} AS {name}" if "qty_days" in name else f"CAST({figures[name]} AS {AGE_TYPE}) AS {name}"
+        for name in age_columns()
+    ]
+    return rows.selectExpr(*ACTIVITY, *texts)
+
+
 def ages_from_answers(rows: DataFrame) -> DataFrame:
     """Age columns of every answered ledger row."""
     usable = "counted_lots > 0 AND NOT (flow = 'in' AND qty IS NULL)"
@@ -229,19 +252,8 @@ def ages_from_answers(rows: DataFrame) -> DataFrame:
         moved[f"{prefix}moved"] = (
             f"CAST(CASE WHEN flow = 'out' THEN {prefix}on_hand - {prefix}left ELSE 0 END AS DECIMAL(38,6))"
         )
-        result[age_name("inv_days", prefix)] = f"{prefix}on_hand"
-        result[age_name("qty_days", prefix)] = f"CAST({prefix}moved AS BIGINT)"
-        result[age_name("a_inv_age", prefix)] = _mean(f"{prefix}on_hand", f"b_units - {floor}")
-        # Half of a sum of two ages keeps a seventh decimal.
-        result[age_name("m_inv_age", prefix)] = (
-            f"CAST({prefix}middle * 5 AS DECIMAL(25,0)) * CAST(0.0000001 AS DECIMAL(7,7))"
-        )
-        result[age_name("qty_age", prefix)] = _mean(f"{prefix}moved", "abs(qty)")
-    stored = [
-        f"{result[name]} AS {name}" if "qty_days" in name else f"CAST({result[name]} AS {AGE_TYPE}) AS {name}"
-        for name in age_columns()
-    ]
-    return plus(plus(rows, days), moved).selectExpr(*ACTIVITY, *stored)
+        result |= stored_ages(prefix, f"b_units - {floor}")
+    return stored(plus(plus(rows, days), moved), result)
 
 
 def ages(

@@ -14,7 +14,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 def planned_bytes(df: DataFrame) -> int:
     """Spark's own size estimate for ``df``; joins without statistics are estimated high."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def lookup_join(

@@ -115,3 +115,31 @@ def check_against_pairs(spark, rows, limit=None):
 @pytest.mark.parametrize("limit", [None, 7])
 def test_ages_equal_pairwise_rules(spark, limit):
     check_against_pairs(spark, random_runs(1, 40, 40), limit)
+
+
+@pytest.mark.parametrize("limit", [None, 7])
+def test_negative_lots_equal_pairwise_rules(spark, limit, monkeypatch):
+    from shelfbook.operators import uneven
+
+    monkeypatch.setattr(uneven, "BLOCK_LOTS", 3)
+    check_against_pairs(spark, random_runs(2, 25, 40, negative_lots=True), limit)
+
+
+@pytest.mark.parametrize("limit", [None, 7])
+def test_trace_holds_the_lots_of_the_chosen_rows(spark, limit):
+    from shelfbook.operators.trace import closing_rows, trace_ages, trace_book
+
+    ledger, shape = build(spark, random_runs(3, 8, 30), limit)
+    adj = set_adjustments(ledger, shape)
+    chosen = closing_rows(ledger)
+    lots = inbound_lots(ledger, shape).count()
+    traced = trace_ages(ledger, adj, chosen, shape).collect()
+    assert len(traced) == lots
+    for r in traced:
+        assert r["septa"] == 0 or r["ru_septa"] >= 0
+    held = {}
+    for r in traced:
+        key = (r["loc"], r["item"], r["u"])
+        held.setdefault(key, [Decimal(0), r["inv_days"]])[0] += r["in_age"] * r["septa"]
+    assert all(total == days for total, days in held.values())
+    assert trace_book(ledger, adj, chosen, shape).count() == lots
