@@ -13,6 +13,7 @@ from shelfbook.config import ExcludeRule, ItemRule
 from shelfbook.functions.clock import moment
 from shelfbook.functions.text import alias_key
 from shelfbook.operators.lookup import lookup_join
+from shelfbook.session import durable
 
 ITEM_FIELDS = ("item", "rpt_it", "ri_vendor_id", "ri_section", "ic_cost", "ri_isbn", "ri_upc")
 
@@ -96,7 +97,7 @@ def expand_links(
     """
     every = _all_links(product_master, product_master_dist)
     for column, known in (("item_code", "rpt_it"), ("report_item_code", "rpt_it"), ("report_item_code", "item_code")):
-        links = links.persist()  # read three times by the next pass
+        links = durable(links)  # read three times by each pass
         reached = links.select(F.col(known).alias(column)).distinct()
         added = every.join(links.select("item_code"), "item_code", "left_anti").join(reached, column, "left_semi")
         links = links.unionByName(added.select("item_code", "rpt_it").distinct())

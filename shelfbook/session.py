@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,19 +24,29 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folder: str | None = None
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names; only a local session without one gets its own."""
+    global _own_folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="shelfbook-")
+        atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
+    return _own_folder
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back.
+    """Write ``df`` as a staging table in the shared folder and read it back.
 
-    Used where a value depends on how a shuffle happened to split its rows: a lost executor must not
-    make Spark evaluate that split a second time.
+    For results that several later steps read, and for values that depend on how a shuffle happened to
+    split its rows: a lost executor must not make Spark evaluate those a second time.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", "")
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="shelfbook-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{_shared_folder(df.sparkSession)}/staging-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
