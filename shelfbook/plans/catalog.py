@@ -71,26 +71,35 @@ class Work:
 
     # inbound
 
-    def fresh(self) -> DataFrame:
+    def fresh_items(self) -> DataFrame:
         return windows.new_items(self.s.items, self.s.known_codes)
 
-    def categories(self) -> DataFrame:
+    @cached_property
+    def fresh(self) -> DataFrame:
+        """Every source asks for the new items, so they are staged once per load."""
+        return durable(self.fresh_items())
+
+    def order_types(self) -> DataFrame:
         return inbound.order_categories(*[detail for detail, _ in self.s.warehouse])
 
+    @cached_property
+    def categories(self) -> DataFrame:
+        return durable(self.order_types())
+
     def push(self, window: Window) -> DataFrame:
-        return inbound.warehouse_push(self.s.warehouse, self.s.items, self.categories(), window, self.fresh())
+        return inbound.warehouse_push(self.s.warehouse, self.s.items, self.categories, window, self.fresh)
 
     def ships(self, window: Window) -> DataFrame:
         s = self.s
         return inbound.shipment_detail(
-            s.shipment_detail, s.shipment_header, self.push(window), s.cutoffs, s.items, window, self.fresh()
+            s.shipment_detail, s.shipment_header, self.push(window), s.cutoffs, s.items, window, self.fresh
         )
 
     def live_receipts(self, window: Window) -> DataFrame:
-        return inbound.receipt_detail(*self.s.receipts, self.s.items, window, self.fresh())
+        return inbound.receipt_detail(*self.s.receipts, self.s.items, window, self.fresh)
 
     def old_receipts(self, window: Window) -> DataFrame:
-        return inbound.receipt_detail(*self.s.receipts_hist, self.s.items, window, self.fresh(), historical=True)
+        return inbound.receipt_detail(*self.s.receipts_hist, self.s.items, window, self.fresh, historical=True)
 
     def receipts(self, window: Window) -> DataFrame:
         return inbound.combine_receipts(self.live_receipts(window), self.old_receipts(window))
@@ -130,17 +139,17 @@ class Work:
 
     def sales(self, window: Window) -> DataFrame:
         s = self.s
-        return act.store_sales(s.sales_item, s.sales_header, s.locations, s.items, window, self.fresh())
+        return act.store_sales(s.sales_item, s.sales_header, s.locations, s.items, window, self.fresh)
 
     def market(self, operator) -> DataFrame:
         s = self.s
         return operator(
-            s.market_order, s.facilities, s.fulfil_header, s.fulfil_detail, s.items, s.product_master, ONLINE, self.fresh()
+            s.market_order, s.facilities, s.fulfil_header, s.fulfil_detail, s.items, s.product_master, ONLINE, self.fresh
         )
 
     def web(self, operator) -> DataFrame:
         s = self.s
-        return operator(s.web_order, s.facilities, s.items, s.product_master, ONLINE, self.fresh())
+        return operator(s.web_order, s.facilities, s.items, s.product_master, ONLINE, self.fresh)
 
     def online(self) -> DataFrame:
         return act.online_union(
@@ -152,8 +161,8 @@ class Work:
 
     def counted(self) -> DataFrame:
         s = self.s
-        return act.counts(s.count_adjustment(False), "SICC", s.items, SECOND_LOAD, self.fresh()).unionByName(
-            act.counts(s.count_adjustment(True), "CICC", s.items, SECOND_LOAD, self.fresh())
+        return act.counts(s.count_adjustment(False), "SICC", s.items, SECOND_LOAD, self.fresh).unionByName(
+            act.counts(s.count_adjustment(True), "CICC", s.items, SECOND_LOAD, self.fresh)
         )
 
     def item_names(self) -> DataFrame:
@@ -207,7 +216,7 @@ def _load_window(w: Work) -> DataFrame:
 
 
 def _in_window(w: Work) -> DataFrame:
-    rows = windows.in_window(w.s.sales_item, "business_date", SECOND_LOAD, w.fresh())
+    rows = windows.in_window(w.s.sales_item, "business_date", SECOND_LOAD, w.fresh)
     return rows.groupBy("item_code", "business_date").agg(
         F.count(F.lit(1)).alias("num_rows"), F.sum("quantity").alias("quantity")
     )
@@ -270,9 +279,9 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "enrich_items": lambda w: items.enrich_items(w.named(), w.s.product_master, w.s.product_master_dist),
     "upsert_items": lambda w: items.upsert_items(w.s.catalogue(False), w.s.catalogue(True), SECOND_RUN),
     "load_window": _load_window,
-    "new_items": Work.fresh,
+    "new_items": Work.fresh_items,
     "in_window": _in_window,
-    "order_categories": Work.categories,
+    "order_categories": Work.order_types,
     "warehouse_push": lambda w: w.push(SECOND_LOAD),
     "shipment_detail": lambda w: w.ships(SECOND_LOAD),
     "shipment_rollup": lambda w: inbound.shipment_rollup(w.ships(SECOND_LOAD)),
@@ -292,7 +301,7 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "web_sales": lambda w: w.web(act.web_sales),
     "web_refunds": lambda w: w.web(act.web_refunds),
     "online_union": Work.online,
-    "transfers_out": lambda w: act.transfers_out(w.s.transfer_detail, w.s.items, SECOND_LOAD, w.fresh()),
+    "transfers_out": lambda w: act.transfers_out(w.s.transfer_detail, w.s.items, SECOND_LOAD, w.fresh),
     "counts": Work.counted,
     "consolidate": Work.consolidated,
     "sync_inbound": lambda w: maintain.sync_inbound(durable(w.inbound_ledger()), w.derived(), SECOND_RUN),
