@@ -136,6 +136,7 @@ def _asked(rows: DataFrame) -> DataFrame:
 
 
 LOT = ("b_units", "hour", "b_hours", "b_class0", "b_class1")
+ASKED = ("before_floor", "after_floor", "median_low", "median_high")
 
 
 def answer_positions(rows: DataFrame, shape: Shape) -> DataFrame:
@@ -154,7 +155,8 @@ def answer_positions(rows: DataFrame, shape: Shape) -> DataFrame:
         F.when(answers, F.transform("asked", lambda p: event(p, 1))).otherwise(none),
         F.when(is_lot, F.array(event(F.col("b_units"), 2))).otherwise(none),
     )
-    carried = [c for c in rows.columns if c not in (*RUN, "u", "asked")]
+    asked = [f"{p}{name}" for p, _ in VARIANTS for name in ASKED]
+    carried = [*(c for c in ACTIVITY if c not in (*RUN, "u")), *LOT, "counted_lots", *asked]
     spread = rows.select("*", F.explode(events).alias("event"))
     kind = F.col("event.kind")
     spread = spread.select(
@@ -175,31 +177,29 @@ def answer_positions(rows: DataFrame, shape: Shape) -> DataFrame:
     return met.select(*RUN, "u", "row.*", "found")
 
 
-def _weigh_floors(rows: DataFrame, floors: list[str]) -> DataFrame:
-    """Unit-hours above each floor, and by how many thirds of a millionth the rounded ages differ."""
-    lots, above, weighed = {}, {}, {}
-    for floor in floors:
-        lot = f"{floor}_lot"
-        lots[lot] = f"try_element_at(found, {floor} + 1)"
-        part = f"({floor} - {lot}.b_units)"
-        inside = {
-            "b_hours": f"{lot}.b_hours + {part} * {lot}.hour",
-            "b_class0": f"{lot}.b_class0 + CASE WHEN {lot}.hour % 3 = 0 THEN {part} ELSE 0 END",
-            "b_class1": f"{lot}.b_class1 + CASE WHEN {lot}.hour % 3 = 1 THEN {part} ELSE 0 END",
-        }
-        for figure, value in inside.items():
-            # The first and the last position need no lot.
-            below = f"CASE WHEN {floor} = 0 THEN 0 WHEN {floor} = b_units THEN {figure} ELSE {value} END"
-            above[f"{floor}_{figure}"] = f"{figure} - {below}"
-        class0, class1 = f"{floor}_b_class0", f"{floor}_b_class1"
-        units = f"(b_units - {floor})"
-        class2 = f"({units} - {class0} - {class1})"
-        weighed[f"{floor}_hours"] = f"hour * {units} - {floor}_b_hours"
-        weighed[f"{floor}_rounding"] = (
-            f"CASE hour % 3 WHEN 0 THEN {class2} - {class1} WHEN 1 THEN {class0} - {class2} "
-            f"ELSE {class1} - {class0} END"
-        )
-    return plus(plus(plus(rows, lots), above), weighed)
+def _weigh(floor: str) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Unit-hours above a floor, and by how many thirds of a millionth the rounded ages differ."""
+    lot = f"{floor}_lot"
+    part = f"({floor} - {lot}.b_units)"
+    inside = {
+        "b_hours": f"{lot}.b_hours + {part} * {lot}.hour",
+        "b_class0": f"{lot}.b_class0 + CASE WHEN {lot}.hour % 3 = 0 THEN {part} ELSE 0 END",
+        "b_class1": f"{lot}.b_class1 + CASE WHEN {lot}.hour % 3 = 1 THEN {part} ELSE 0 END",
+    }
+    # The first and the last position need no lot.
+    above = {
+        f"{floor}_{figure}": f"{figure} - CASE WHEN {floor} = 0 THEN 0 WHEN {floor} = b_units THEN {figure} ELSE {value} END"
+        for figure, value in inside.items()
+    }
+    class0, class1 = f"{floor}_b_class0", f"{floor}_b_class1"
+    units = f"(b_units - {floor})"
+    class2 = f"({units} - {class0} - {class1})"
+    weighed = {
+        f"{floor}_hours": f"hour * {units} - {floor}_b_hours",
+        f"{floor}_rounding": f"CASE hour % 3 WHEN 0 THEN {class2} - {class1} WHEN 1 THEN {class0} - {class2} "
+        f"ELSE {class1} - {class0} END",
+    }
+    return {lot: f"try_element_at(found, {floor} + 1)"}, above, weighed
 
 
 def _days_above(floor: str) -> str:
@@ -215,45 +215,47 @@ def _mean(days: str, units: str) -> str:
 def stored_ages(prefix: str, units: str) -> dict[str, str]:
     """The five stored figures of a variant from its days on hand, days moved and median sum."""
     on_hand, moved = f"{prefix}on_hand", f"{prefix}moved"
-    return {
-        age_name("inv_days", prefix): on_hand,
-        age_name("qty_days", prefix): f"CAST({moved} AS BIGINT)",
-        age_name("a_inv_age", prefix): _mean(on_hand, units),
+    stored = {
+        "inv_days": on_hand,
+        "a_inv_age": _mean(on_hand, units),
         # Half of a sum of two ages keeps a seventh decimal.
-        age_name("m_inv_age", prefix): (
-            f"CAST({prefix}middle * 5 AS DECIMAL(25,0)) * CAST(0.0000001 AS DECIMAL(7,7))"
-        ),
-        age_name("qty_age", prefix): _mean(moved, "abs(qty)"),
+        "m_inv_age": f"CAST({prefix}middle * 5 AS DECIMAL(25,0)) * CAST(0.0000001 AS DECIMAL(7,7))",
+        "qty_age": _mean(moved, "abs(qty)"),
     }
+    figures = {age_name(name, prefix): f"CAST({text} AS {AGE_TYPE})" for name, text in stored.items()}
+    return figures | {age_name("qty_days", prefix): f"CAST({moved} AS BIGINT)"}
 
 
-def stored(rows: DataFrame, figures: dict[str, str]) -> DataFrame:
-    texts = [
-        f"{figures[name]} AS {name}" if "qty_days" in name else f"CAST({figures[name]} AS {AGE_TYPE}) AS {name}"
-        for name in age_columns()
-    ]
-    return rows.selectExpr(*ACTIVITY, *texts)
+USABLE = "counted_lots > 0 AND NOT (flow = 'in' AND qty IS NULL)"
 
 
 def ages_from_answers(rows: DataFrame) -> DataFrame:
-    """Age columns of every answered ledger row."""
-    usable = "counted_lots > 0 AND NOT (flow = 'in' AND qty IS NULL)"
-    floors = [f"{p}{moment}_floor" for p, _ in VARIANTS for moment in ("before", "after")]
-    rows = _weigh_floors(rows, floors)
-    days, moved, result = {}, {}, {}
+    """Age columns of every answered ledger row.
+
+    One variant after the other, each in short steps: Spark compiles every step to a method of its own,
+    and the JVM only optimises short methods.
+    """
     for prefix, _ in VARIANTS:
-        floor = f"{prefix}before_floor"
-        ages_of = [
-            age_micros(f"hour - try_element_at(found, {prefix}median_{end}).hour") for end in ("low", "high")
-        ]
-        days[f"{prefix}on_hand"] = f"CASE WHEN {usable} THEN {_days_above(floor)} END"
-        days[f"{prefix}left"] = f"CASE WHEN flow = 'out' THEN {_days_above(f'{prefix}after_floor')} END"
-        days[f"{prefix}middle"] = f"CASE WHEN {usable} THEN {ages_of[0]} + {ages_of[1]} END"
-        moved[f"{prefix}moved"] = (
-            f"CAST(CASE WHEN flow = 'out' THEN {prefix}on_hand - {prefix}left ELSE 0 END AS DECIMAL(38,6))"
+        before, after = f"{prefix}before_floor", f"{prefix}after_floor"
+        kept = [c for c in rows.columns if c not in [f"{prefix}{name}" for name in ASKED]]
+        steps = [b | a for b, a in zip(_weigh(before), _weigh(after))]
+        ends = {f"{prefix}{end}": f"hour - try_element_at(found, {prefix}median_{end}).hour" for end in ("low", "high")}
+        steps[0] |= ends
+        low, high = (age_micros(name) for name in ends)
+        steps.append(
+            {
+                f"{prefix}on_hand": f"CASE WHEN {USABLE} THEN {_days_above(before)} END",
+                f"{prefix}left": f"CASE WHEN flow = 'out' THEN {_days_above(after)} END",
+                f"{prefix}middle": f"CASE WHEN {USABLE} THEN {low} + {high} END",
+            }
         )
-        result |= stored_ages(prefix, f"b_units - {floor}")
-    return stored(plus(plus(rows, days), moved), result)
+        moved = f"CASE WHEN flow = 'out' THEN {prefix}on_hand - {prefix}left ELSE 0 END"
+        steps.append({f"{prefix}moved": f"CAST({moved} AS DECIMAL(38,6))"})
+        for step in steps:
+            rows = plus(rows, step)
+        figures = stored_ages(prefix, f"b_units - {before}")
+        rows = rows.selectExpr(*kept, *[f"{text} AS {name}" for name, text in figures.items()])
+    return rows.select(*ACTIVITY, *age_columns())
 
 
 def ages(

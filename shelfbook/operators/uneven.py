@@ -50,7 +50,7 @@ def _oldest(need: str) -> str:
     )
 
 
-def ages_with_negative_lots(rows: DataFrame, shape: Shape, block_lots: DataFrame | None = None) -> DataFrame:
+def ages_with_negative_lots(rows: DataFrame, shape: Shape) -> DataFrame:
     asked = rows.filter(F.col("matched") & (F.col("lots") > 0) & (F.col("negative_lots") > 0))
     book = even.quantities()
     variants = ", ".join(
@@ -96,16 +96,17 @@ def ages_with_negative_lots(rows: DataFrame, shape: Shape, block_lots: DataFrame
         ).alias("answer")
     )
     joined = asked.join(per_row, [*RUN, "u"])
-    usable = "counted_lots > 0 AND NOT (flow = 'in' AND qty IS NULL)"
     found, result = {}, {}
     for prefix, _ in even.VARIANTS:
         a = f"answer['{prefix}']"
-        found[f"{prefix}on_hand"] = f"CASE WHEN {usable} THEN {even.as_days(f'{a}.micros')} END"
+        found[f"{prefix}on_hand"] = f"CASE WHEN {even.USABLE} THEN {even.as_days(f'{a}.micros')} END"
         found[f"{prefix}units"] = f"{a}.units"
-        found[f"{prefix}middle"] = f"CASE WHEN {usable} THEN {a}.low + {a}.high END"
+        found[f"{prefix}middle"] = f"CASE WHEN {even.USABLE} THEN {a}.low + {a}.high END"
         found[f"{prefix}moved"] = (
             f"CASE WHEN flow = 'out' THEN {even.as_days(f'{a}.micros - {a}.micros_after')} "
             "ELSE CAST(0 AS DECIMAL(38,6)) END"
         )
         result |= even.stored_ages(prefix, f"{prefix}units")
-    return even.stored(even.plus(joined, found), result)
+    return even.plus(joined, found).selectExpr(
+        *even.ACTIVITY, *[f"{result[name]} AS {name}" for name in even.age_columns()]
+    )

@@ -193,9 +193,18 @@ class Work:
         rows, shape = self.shaped()
         return sequence.mark_segments(sequence.sequence_ledger(rows, shape), shape), shape
 
-    def adjusted(self) -> tuple[DataFrame, DataFrame, sequence.Shape]:
+    @cached_property
+    def stored(self) -> tuple[DataFrame, sequence.Shape]:
+        """The ledger as a table, as the steps that derive from it read it."""
         ledger, shape = self.ledger()
-        return ledger, adjust.set_adjustments(ledger, shape), shape
+        return durable(ledger), shape
+
+    def adjustments(self) -> DataFrame:
+        return adjust.set_adjustments(*self.stored)
+
+    def adjusted(self) -> tuple[DataFrame, DataFrame, sequence.Shape]:
+        ledger, shape = self.stored
+        return ledger, durable(self.adjustments()), shape
 
     def dated(self) -> DataFrame:
         """The ledger with a time of loading: the day after, or two days after for returns."""
@@ -311,8 +320,8 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     ),
     "sequence_ledger": Work.sequenced,
     "mark_segments": lambda w: w.ledger()[0],
-    "set_adjustments": lambda w: _rounded(w.adjusted()[1]),
-    "inbound_lots": lambda w: ages.inbound_lots(*w.ledger()),
+    "set_adjustments": lambda w: _rounded(w.adjustments()),
+    "inbound_lots": lambda w: ages.inbound_lots(*w.stored),
     "expand_lots": _lots,
     "fifo_remaining": _remaining,
     "ages": _ages,
