@@ -182,15 +182,17 @@ class Work:
     def consolidated(self) -> DataFrame:
         return act.consolidate(self.s.activity, self.s.all_items)
 
+    @cached_property
     def shaped(self) -> tuple[DataFrame, sequence.Shape]:
-        rows = self.consolidated()
+        """The ledger rows as a table, before they are put in order."""
+        rows = durable(self.consolidated())
         return rows, sequence.Shape.of(rows)
 
     def sequenced(self) -> DataFrame:
-        return sequence.sequence_ledger(*self.shaped())
+        return sequence.sequence_ledger(*self.shaped)
 
     def ledger(self) -> tuple[DataFrame, sequence.Shape]:
-        rows, shape = self.shaped()
+        rows, shape = self.shaped
         return sequence.mark_segments(sequence.sequence_ledger(rows, shape), shape), shape
 
     @cached_property
@@ -204,7 +206,7 @@ class Work:
 
     def adjusted(self) -> tuple[DataFrame, DataFrame, sequence.Shape]:
         ledger, shape = self.stored
-        return ledger, durable(self.adjustments()), shape
+        return ledger, self.adjustments(), shape
 
     def dated(self) -> DataFrame:
         """The ledger with a time of loading: the day after, or two days after for returns."""
@@ -236,15 +238,10 @@ def _ages(w: Work) -> DataFrame:
     return ages.ages(ledger, adjustments, shape)
 
 
-def _lots(w: Work) -> DataFrame:
-    ledger, adjustments, shape = w.adjusted()
-    return trace.expand_lots(ledger, adjustments, trace.closing_rows(ledger), shape)
-
-
 def _traced(operator) -> Callable[[Work], DataFrame]:
     def run(w: Work) -> DataFrame:
         ledger, adjustments, shape = w.adjusted()
-        return operator(ledger, adjustments, trace.closing_rows(ledger), shape)
+        return operator(ledger, durable(adjustments), durable(trace.closing_rows(ledger)), shape)
 
     return run
 
@@ -322,7 +319,7 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "mark_segments": lambda w: w.ledger()[0],
     "set_adjustments": lambda w: _rounded(w.adjustments()),
     "inbound_lots": lambda w: ages.inbound_lots(*w.stored),
-    "expand_lots": _lots,
+    "expand_lots": _traced(trace.expand_lots),
     "fifo_remaining": _remaining,
     "ages": _ages,
     "trace_ages": _traced(trace.trace_ages),

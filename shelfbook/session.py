@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Compiled steps longer than the JVM optimises are better run as several short ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
