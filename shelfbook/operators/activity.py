@@ -52,14 +52,15 @@ def store_sales(
     fresh: DataFrame,
     stores: DataFrame | None = None,
 ) -> DataFrame:
-    """Store sales and returns. A location listed twice counts its sales twice, as in the source."""
+    """Store sales and returns.
+
+    Without a store filter a location listed twice counts its sales twice, as in the source.
+    """
     rows = in_window(sales.filter(F.col("status") == "A"), "business_date", window, fresh)
     key = ["location_id", "xaction_type", "sales_xaction_id", "business_date"]
     rows = _followed(rows, items).join(headers.select(*key, "end_date"), key)
-    if stores is not None:
-        rows = lookup_join(rows, stores.select("location_id").distinct(), ["location_id"], "left_semi")
-    places = locations.select("location_id", F.col("location_no").alias("loc"))
-    rows = lookup_join(rows, places, ["location_id"])
+    places = locations if stores is None else stores.select("location_id", "location_no").distinct()
+    rows = lookup_join(rows, places.select("location_id", F.col("location_no").alias("loc")), ["location_id"])
     returned = F.coalesce(F.col("is_return") == "Y", F.lit(False))
     marked_down = F.coalesce(F.col("register_price") < F.col("unit_price"), F.lit(False))
     sign = F.when(returned, 1).otherwise(-1)

@@ -99,13 +99,22 @@ def _combined(measure: Measure, local: Column, carried: Column) -> Column:
     return (F.least if measure.kind == "min" else F.greatest)(local, carried)
 
 
+def _total(measure: Measure, order: Order) -> Column:
+    """Aggregate of a whole piece; the latest value is the one at the greatest place, not the last read."""
+    if measure.kind != "last":
+        return _FOLDS[measure.kind](measure.value)
+    if any(direction != "asc" for _, direction in order):
+        raise ValueError("latest values are only carried in ascending order")
+    return F.max_by(measure.value, F.when(measure.value.isNotNull(), F.struct(*[c for c, _ in order])))
+
+
 def chunked(
     df: DataFrame, keys: Sequence[str], chunk: str, order: Order, measures: Sequence[Measure]
 ) -> DataFrame:
     """As ``windowed``, for groups cut into pieces numbered by ``chunk`` in the same order."""
     place = [*keys, chunk]
     local = windowed(df, place, order, [m for m in measures if m.span != "all"])
-    totals = df.groupBy(*place).agg(*[_FOLDS[m.kind](m.value).alias(m.name) for m in measures])
+    totals = df.groupBy(*place).agg(*[_total(m, order).alias(m.name) for m in measures])
     carries = []
     for m in measures:
         kind = "sum" if m.kind == "count" else m.kind

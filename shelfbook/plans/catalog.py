@@ -328,7 +328,7 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "rows_per_update_day": lambda w: diagnostics.rows_per_day(w.by_store(), "last_update"),
     "rows_per_activity_day": lambda w: diagnostics.rows_per_day(w.by_store(), "ts"),
     "item_footprint": lambda w: diagnostics.item_footprint(w.by_store()),
-    "rank_footprint": lambda w: diagnostics.rank_footprint(diagnostics.item_footprint(w.by_store()), AS_OF),
+    "rank_footprint": lambda w: diagnostics.rank_footprint(durable(diagnostics.item_footprint(w.by_store())), AS_OF),
     "load_lag": lambda w: diagnostics.load_lag(w.dated()),
 }
 
