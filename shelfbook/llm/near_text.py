@@ -3,9 +3,12 @@
 Every text is the set of its k-word shingles. Texts of equal sets become one class first. Then several independent
 trees are grown over the classes: a node chooses ``branch`` places of the minhash signature, and each document goes to
 the child named by its own value there, so two documents stay together with a chance that rises with their similarity.
-Small nodes are compared exhaustively. In a large node every document is compared with one pivot; what that links gets a
-common label, nodes of one label are finished, and the others branch again. Labels are brought up to date before
-each level, so a large group of near copies is linked by stars, never by all of its pairs.
+Documents that are known to be linked carry a common label, brought up to date before each level, and a node of one label
+is finished. A document outside its node's most frequent label is open. On the first level, nodes with few open documents
+compare those with all others, and in the rest every document is compared with one pivot. After that, what is still
+open in a node is compared with the whole node in cells of bounded size, inside tasks that return only links that join
+labels; nodes too large for this are compared with a pivot and branch again. So a large group of near copies is linked by
+stars, and its pairs are never rows.
 
 Two documents of the wanted similarity s meet in a node of the first level with a chance of 1 - (1 - s)**(trees * branch):
 0.9999998 for 0.85 and the default trees. A pair is dropped early only if its signatures agree in fewer places than five
@@ -27,6 +30,7 @@ from shelfbook.llm.wordhash import Block, blocks, mixed
 from shelfbook.session import durable
 
 PLACES = 48  # of a signature
+CELL = 512  # documents on each side of a cell
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, signature array<int>"
 
@@ -80,12 +84,61 @@ def _confirm(k: int, percent: int):
     return run
 
 
+def _join_labels(k: int, percent: int):
+    """Of a cell: links between its open documents (side 0) and the others, one for each two labels that they join."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        sets = [s for _, _, block in blocks(cell["text"], lower=True) for s in shingles(block, k)]
+        ids, labels, side = (cell[c].to_numpy() for c in ("id", "label", "side"))
+        sizes = np.array([len(s) for s in sets], np.float32)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        owner = np.repeat(np.arange(len(sets)), sizes.astype(int))
+        _, term, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = often[term] > 1
+        owner, term = owner[shared], np.unique(term[shared], return_inverse=True)[1]
+        order = np.argsort(term, kind="stable")
+        owner, term = owner[order], term[order]
+        row = np.empty(len(sets), int)
+        row[x], row[y] = np.arange(len(x)), np.arange(len(y))
+        both = np.zeros((len(x), len(y)), np.float32)
+        width, n_terms = 2048, int(term[-1]) + 1 if len(term) else 0
+        for low in range(0, n_terms, width):  # intersections as products of slices of 0/1 matrices
+            part = slice(*np.searchsorted(term, [low, low + width]))
+            held = [np.zeros((len(z), width), np.float32) for z in (x, y)]
+            for s in (0, 1):
+                mine = side[owner[part]] == s
+                held[s][row[owner[part][mine]], term[part][mine] - low] = 1
+            both += held[0] @ held[1].T
+        near = (100 * both >= percent * (sizes[x][:, None] + sizes[y] - both)) & (both > 0)
+        i, j = np.nonzero(near & (labels[x][:, None] != labels[y]))
+        a, b = x[i], y[j]
+        _, first = np.unique(np.stack([np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])]), axis=1, return_index=True)
+        root: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            while (up := root.get(v, v)) != v:
+                root[v] = root.get(up, up)
+                v = up
+            return v
+
+        links = []
+        for at in first:
+            u, v = find(int(labels[a[at]])), find(int(labels[b[at]]))
+            if u != v:
+                root[u] = v
+                links.append((int(ids[a[at]]), int(ids[b[at]])))
+        return pa.table({"a": pa.array([u for u, _ in links], pa.int64()), "b": pa.array([v for _, v in links], pa.int64())})
+
+    return run
+
+
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
 def near_text_classes(
-    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, branch: int = 2, small: int = 32, levels: int = 10
+    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, branch: int = 2, small: int = 32, levels: int = 8, exhaustive: int = 1 << 24
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -102,7 +155,7 @@ def near_text_classes(
         .agg(F.min("doc_id").alias("id"), F.max("signature").alias("signature"))
     )
     classes = durable(classes)
-    links = _links(texts, classes, k, percent, trees, branch, small, levels)
+    links = _links(texts, classes, k, percent, trees, branch, small, levels, exhaustive)
     found = components(links)
     known = classes.join(found, "id", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "id").alias("component"))
     named = sketches.filter("doc_id is not null").join(known, ["n_shingles", "h1", "h2"], "left")
@@ -114,7 +167,7 @@ def near_text_classes(
 
 
 def _links(
-    texts: DataFrame, classes: DataFrame, k: int, percent: int, trees: int, branch: int, small: int, levels: int
+    texts: DataFrame, classes: DataFrame, k: int, percent: int, trees: int, branch: int, small: int, levels: int, exhaustive: int
 ) -> DataFrame:
     """Confirmed links (a, b) between classes; enough of them to connect all that are linked."""
     chance = percent / 100
@@ -128,49 +181,63 @@ def _links(
     links: DataFrame | None = None
     candidates: DataFrame | None = None
     for level in range(1, levels + 1):
-        nodes = (
-            rows.groupBy("node")
-            .agg(
-                F.count(F.lit(1)).alias("size"),
-                F.min(F.struct("id", "n")).alias("pivot"),
-                (F.min("label") != F.max("label")).alias("open"),
-            )
-            .filter("open")
+        first, last = level == 1, level == levels
+        # a node's documents by label; all but the most frequent label's are open
+        turn = F.col("id") if first else F.xxhash64("id", "node")
+        by_label = rows.groupBy("node", "label").agg(
+            F.count(F.lit(1)).alias("n_label"), F.min(F.struct(turn.alias("turn"), "id", "n")).alias("pivot")
         )
-        grown = durable(rows.join(nodes.drop("open"), "node"))
-        limit = F.col("size") <= small if level < levels else F.lit(True)  # the last level compares whatever is left
-        few = grown.filter(limit)
-        x, y = few.select("node", "id", "n", "label"), few.select("node", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "label")])
-        every = x.join(y, "node").filter(
-            (F.col("id") < F.col("id_")) & (F.col("label") != F.col("label_")) & _sizes_allow(F.col("n"), F.col("n_"), percent)
-        )
-        stars = grown.filter(~limit).filter(
-            (F.col("id") != F.col("pivot.id")) & _sizes_allow(F.col("n"), F.col("pivot.n"), percent)
+        nodes = (
+            by_label.groupBy("node")
+            .agg(F.sum("n_label").alias("size"), F.max(F.struct("n_label", "label", "pivot")).alias("most"))
+            .select("node", "size", "most.pivot", F.col("most.label").alias("common"), (F.col("size") - F.col("most.n_label")).alias("n_open"))
+            .filter("n_open > 0")
         )
-        pairs = (
-            every.select(F.col("id").alias("a"), F.col("id_").alias("b"))
-            .union(stars.select(F.col("pivot.id").alias("a"), F.col("id").alias("b")))
-            .distinct()
+        grown = durable(rows.join(nodes, "node"))
+        is_open = F.col("label") != F.col("common")
+        ends_here = F.lit(True) if last else F.col("n_open") <= small if first else F.col("n_open") * F.col("size") <= exhaustive
+        large = grown.filter(~ends_here)
+        pairs = large.filter(is_open & _sizes_allow(F.col("n"), F.col("pivot.n"), percent)).select(
+            F.least("pivot.id", "id").alias("a"), F.greatest("pivot.id", "id").alias("b")
         )
+        if first:
+            x = grown.filter(ends_here & is_open).select("node", "id", "n", "common")
+            y = grown.filter(ends_here).select("node", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "label")])
+            once = (F.col("label_") == F.col("common")) | (F.col("id") < F.col("id_"))
+            every = x.join(y, "node").filter((F.col("id") != F.col("id_")) & once & _sizes_allow(F.col("n"), F.col("n_"), percent))
+            pairs = pairs.union(every.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")))
         alike = F.aggregate(
             F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda total, one: total + one
         )
         pairs = durable(
-            pairs.join(signatures.toDF("a", "sa"), "a")
+            pairs.distinct()
+            .join(signatures.toDF("a", "sa"), "a")
             .join(signatures.toDF("b", "sb"), "b")
             .filter(alike >= agreeing)
             .select("a", "b")
         )
-        large = grown.filter(~limit)
-        if candidates is None:  # no later level asks for the text of any other document
+        if first:  # no later level asks for the text of any other document
             wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(large.select("id")).distinct()
             candidates = durable(texts.join(wanted, "doc_id", "left_semi"))
-        confirmed = durable(
+        confirmed = (
             pairs.join(candidates.toDF("a", "ta"), "a")
             .join(candidates.toDF("b", "tb"), "b")
             .select("a", "b", "ta", "tb")
             .mapInArrow(_confirm(k, percent), "a long, b long")
         )
+        if not first:
+            blocks_of = lambda n: F.ceil(F.col(n) / CELL).cast("int")
+            own = lambda n: F.pmod(F.xxhash64("id"), blocks_of(n)).cast("int")
+            each = lambda n: F.explode(F.sequence(F.lit(0), blocks_of(n) - 1))
+            done = grown.filter(ends_here)
+            cells = (
+                done.filter(is_open)
+                .select("node", "id", "label", F.lit(0).alias("side"), own("n_open").alias("i"), each("size").alias("j"))
+                .union(done.select("node", "id", "label", F.lit(1).alias("side"), each("n_open").alias("i"), own("size").alias("j")))
+                .join(candidates.toDF("id", "text"), "id")
+            )
+            confirmed = confirmed.union(cells.groupBy("node", "i", "j").applyInArrow(_join_labels(k, percent), "a long, b long"))
+        confirmed = durable(confirmed)
         links = confirmed if links is None else links.union(confirmed)
         if large.isEmpty():
             break
