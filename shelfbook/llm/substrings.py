@@ -19,10 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfbook.llm.wordhash import blocks
-from shelfbook.operators.lookup import planned_bytes
 
 PACKED = "bucket int, hashes binary, ids binary, places binary"
-TASK_BYTES = 8 << 20  # input bytes, as planned by Spark, for each receiving task
+TASK_BYTES = 24 << 20  # bytes of text for each receiving task
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -161,7 +160,8 @@ def repeated_passages(docs: DataFrame, width: int = 50) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(min(planned_bytes(rows), 1 << 50) / TASK_BYTES))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_BYTES))
     bits = max(6, math.ceil(math.log2(parts)) + 1)
     packed = rows.mapInArrow(_windows(width, bits), PACKED).repartition(parts, "bucket")
     later = packed.mapInArrow(_repeated(parts), PACKED).repartition(parts, "bucket")

@@ -1,0 +1,286 @@
+"""Results against plain Python, an exact round trip, or held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from shelfbook.llm import queries as q
+from shelfbook.llm.graph import components
+from shelfbook.llm.language import languages_held_out
+from shelfbook.llm.mixing import mix_report, mixed
+from shelfbook.llm.near_text import near_text_classes, without_near_copies
+from shelfbook.llm.near_vectors import audit, near_vector_classes
+from shelfbook.llm.packing import Encoder, PATTERN, VOCABULARY, best_fit, best_fit_decreasing, packed, token_matrices
+from shelfbook.llm.pseudonyms import pseudonym_report
+from shelfbook.llm.quality import quality_report
+from shelfbook.llm.substrings import passage_digests, without_repeated_passages
+from shelfbook.llm.toxicity import toxicity_held_out
+from tests.llm import brute
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+def some_texts(seed, copies, length=60):
+    """A base text, copies of it with a growing number of other words, and texts of their own."""
+    pick = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [pick.choice(vocabulary) for _ in range(length)]
+    rows = []
+    for i in range(copies):
+        own = list(base)
+        for _ in range(pick.randrange(5)):
+            own[pick.randrange(length)] = pick.choice(vocabulary)
+        rows.append(" ".join(own))
+    return rows + [" ".join(pick.choice(vocabulary) for _ in range(length)) for _ in range(20)]
+
+
+@pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
+def test_near_texts(spark, k, percent):
+    rows = [(i, t) for i, t in enumerate(some_texts(1, 120) + some_texts(2, 3) + some_texts(3, 3)[:3])]
+    got = near_text_classes(spark.createDataFrame(rows, "doc_id long, text string"), k, percent, small=4)
+    want = brute.near_texts(rows, k, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.collect())
+
+
+def test_large_nodes_branch_before_they_are_compared(spark):
+    rows = list(enumerate(some_texts(4, 150)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_text_classes(docs, 3, 85, small=2, exhaustive=50, levels=4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.near_texts(rows, 3, 85)
+
+
+def test_near_texts_of_the_table(spark, texts):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in q.op2_near_text(spark, FOLDER).collect()}
+    assert got == brute.near_texts(list(texts.items()), 3, 85)
+
+
+def test_components(spark):
+    pick = random.Random(0)
+    links = [(i, i + 1) for i in range(60)] + [(100 + pick.randrange(60), 100 + pick.randrange(60)) for _ in range(40)]
+    groups = brute.Groups({x for pair in links for x in pair})
+    for a, b in links:
+        groups.join(a, b)
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: groups.find(i) for i in groups.up if groups.find(i) != i or i in got}
+
+
+def test_passages(spark, docs, texts):
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passage_digests(docs).collect()}
+    assert got == brute.passages(list(texts.items()), 50)
+
+
+def test_short_windows_and_the_texts_themselves(spark):
+    rows = [(3, "a b c d e f"), (1, "x a b c d y"), (2, "a b c d\ta b c d"), (4, "d e f q a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passage_digests(docs, 3).collect()} == brute.passages(rows, 3)
+    assert {r.doc_id: r.text for r in without_repeated_passages(docs, 3).collect()}[1] == "x a b c d y"
+
+
+def test_quality(spark, docs, texts):
+    for r in quality_report(docs).collect():
+        assert tuple(r)[1:7] == brute.quality_counts(texts[r.doc_id])
+        assert not (r.base_failed and r.kept)
+
+
+def test_mix(docs, texts):
+    rows = mix_report(docs).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    total = sum(r.size for r in rows)
+    taken, sources = Counter(), defaultdict(set)
+    for r in rows:
+        assert r.size == len(brute.words(texts[r.doc_id])) and r.taken % max(1, r.size) == 0 and r.taken <= 3 * r.size
+        taken[r.source_size, r.target] += r.taken
+        sources[r.source_size, r.target].add(r.size)
+    assert abs(sum(t for _, t in sources) - total) < 1e-6 * total and sum(taken.values()) <= total
+    for (size, target), own in sources.items():
+        assert target <= 3 * size and abs(taken[size, target] - target) <= 2 * max(own)
+    assert sorted(map(tuple, mix_report(docs).collect())) == sorted(map(tuple, rows))
+    copies = Counter(r.doc_id for r in mixed(docs).collect())
+    assert all(copies[r.doc_id] * r.size == r.taken for r in rows)
+
+
+def test_pseudonyms(spark):
+    pick = random.Random(5)
+    card = lambda n: next(c for c in (n + str(d) for d in range(10)) if brute.luhn(c))
+    cards = sorted({card("".join(pick.choice("0123456789") for _ in range(15))) for _ in range(60)})
+    ips = sorted({".".join(str(pick.randrange(256)) for _ in range(4)) for _ in range(60)})
+    days = sorted({f"{pick.randrange(1950, 2020)}-{pick.randrange(1, 13):02}-{pick.randrange(1, 29):02}" for _ in range(60)})
+    mails = sorted({f"{pick.choice('abc')}{i}@mail.example.com" for i in range(60)})
+    rows = [(i, f"see {a}, or {b} on {c}; {d} and {a} again") for i, (a, b, c, d) in enumerate(zip(cards, ips, days, mails))]
+    out = {r.doc_id: r.text for r in pseudonym_report(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    form = re.compile(r"see (\d{16}), or ([\d.]+) on (\d{4}-\d\d-\d\d); ([a-z]\d+@mail\.example\.com) and (\d{16}) again")
+    found = [form.fullmatch(out[i]).groups() for i, _ in rows]
+    for n, own in enumerate((cards, ips, days, mails)):
+        assert len({f[n] for f in found}) == len(rows)  # different ones stay different
+        assert sum(f[n] == v for f, v in zip(found, own)) <= 1
+    for f in found:
+        assert brute.luhn(f[0]) and f[0] == f[4] and all(int(o) < 256 for o in f[1].split("."))
+        np.datetime64(f[2])
+
+
+def test_what_is_not_private_stays(spark):
+    rows = [(1, "version 3. CC BY-NC 4.0. In 1999 12 of 345"), (2, "card 4565410125667262 and 999.1.1.1 on 2001-02-30"), (3, "a@b c_d")]
+    out = pseudonym_report(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    assert {r.doc_id: (r.text, r.n_replaced) for r in out} == {i: (t, 0) for i, t in rows}
+
+
+def test_best_fit_rules():
+    pick = random.Random(2)
+    sizes = [pick.randrange(0, 100) for _ in range(300)]
+    bins, offsets, lengths = best_fit(sizes, (25, 50, 100))
+    held = defaultdict(list)
+    for s, b, o in zip(sizes, bins, offsets):
+        held[b].append((o, s))
+    for b, own in held.items():
+        own.sort()
+        assert all(o + s <= p for (o, s), (p, _) in zip(own, own[1:]))
+        used = sum(s for _, s in own)
+        assert lengths[b] == min(x for x in (25, 50, 100) if x >= used)
+    assert sum(lengths) < 1.1 * sum(sizes)
+
+
+def test_segment_tree_finds_the_tightest_bin():
+    pick = random.Random(3)
+    sizes = [pick.randrange(0, 65) for _ in range(400)]
+    rooms, want = [], []
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        fits = [b for b, r in enumerate(rooms) if r >= sizes[i]]
+        if not fits:
+            rooms.append(64)
+            fits = [len(rooms) - 1]
+        rooms[min(fits, key=lambda b: rooms[b])] -= sizes[i]
+    got = best_fit_decreasing(sizes, 64)
+    assert sorted(i for b in got for i in b) == list(range(400))
+    assert sorted(64 - sum(sizes[i] for i in b) for b in got) == sorted(rooms)
+
+
+def test_packing_keeps_every_word(docs, texts):
+    rows = packed(docs, lengths=(64, 256), shard=20_000).collect()
+    pieces, bins = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append((r.start, r.size))
+        bins[r.bin_id, r.bin_length].append((r.bin_offset, r.size))
+    for i, t in texts.items():
+        own = sorted(pieces[i])
+        assert [s for s, _ in own] == list(range(0, max(1, len(brute.words(t))), 256)) and sum(n for _, n in own) == len(brute.words(t))
+    assert len({b for b, _ in bins}) == len(bins)
+    for (_, length), own in bins.items():
+        assert length in (64, 256) and sum(n for _, n in own) <= length
+
+
+def test_token_matrices_give_the_texts_again(docs, texts):
+    import base64
+
+    import tiktoken
+
+    with open(VOCABULARY, "rb") as file:
+        ranks = file.read()
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    plain = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+    encoder = Encoder(ranks, PATTERN)
+    for t in [*list(texts.values())[:50], "", " ", "a  b", "a   b \n\n c", "\n x", "x\n y ", "don't  stop"]:
+        assert np.frombuffer(encoder(t or ""), "<u2").tolist() == plain.encode_ordinary(t or "")
+    parts = defaultdict(list)
+    for r in token_matrices(docs, capacity=256, shard=50_000).collect():
+        ids, places = np.frombuffer(r.input_ids, "<u2"), np.frombuffer(r.position_ids, "<u2")
+        assert len(ids) == len(places) == 256 and r.cu_seqlens[-1] == r.n_tokens
+        for i, s, a, b in zip(r.doc_ids, r.token_starts, r.cu_seqlens, r.cu_seqlens[1:]):
+            parts[i].append((s, ids[a:b].tolist()))
+            assert places[a:b].tolist() == list(range(b - a))
+    assert {i: plain.decode([x for _, own in sorted(p) for x in own]) for i, p in parts.items()} == {i: t or "" for i, t in texts.items()}
+
+
+def exact_links(ids, x, threshold=0.9):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    groups = brute.Groups(ids)
+    for a, b in zip(*np.nonzero(near)):
+        groups.join(ids[a], ids[b])
+    return {i: (int(near[n].sum()), groups.find(i)) for n, i in enumerate(ids)}
+
+
+@pytest.mark.parametrize("cell", [4096, 64])
+def test_near_vectors(spark, cell):
+    pick = np.random.default_rng(3)
+    base = pick.normal(size=(40, 16))
+    x = np.concatenate([base] + [base[:1] + 0.2 * pick.normal(size=(150, 16)), base[5:6] + 0.3 * pick.normal(size=(30, 16)), base[7:8]])
+    ids = [int(i) * 3 for i in pick.permutation(len(x))]
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    result = near_vector_classes(docs, cell=cell)
+    want = exact_links(ids, x)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in result.collect()}
+    found, links = sum(n for n, _ in got.values()), sum(n for n, _ in want.values())
+    assert found >= 0.99 * links and all(got[i][0] <= want[i][0] for i in ids)
+    if found == links:
+        assert got == want
+    assert audit(docs, result, every=3) >= 0.99
+
+
+def test_languages_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    true = {r.doc_id: r.lang for r in docs.collect()}
+    held = [r for r in languages_held_out(docs).collect() if r.held_out and true[r.doc_id]]
+    assert np.mean([r.lang_pred == true[r.doc_id] for r in held]) > 0.97
+
+
+def test_toxicity_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    true = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = toxicity_held_out(spark.read.parquet(f"{folder}/documents.parquet"), labels).collect()
+    held = [(r.score, true[r.doc_id]) for r in rows if r.held_out and r.doc_id in true]
+    toxic, clean = [s for s, t in held if t], [s for s, t in held if not t]
+    # a few dozen labels to learn from; the large tables give above 0.999
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.85 and max(clean) < 0.3
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_pipeline_stage_by_stage(spark, docs):
+    """Each stage against plain Python on its own input."""
+    stages = dict(corpus_pipeline.STAGES)
+    before = {r.doc_id: r for r in docs.collect()}
+    kept = stages["quality"](spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    kept_ids = {r.doc_id for r in kept.collect()}
+    verdict = {r.doc_id: r.kept for r in quality_report(docs).collect()}
+    assert kept_ids == {i for i, k in verdict.items() if k}
+    single = stages["near_copies"](spark, kept, FOLDER)
+    want = brute.near_texts([(i, before[i].text) for i in kept_ids], 5, 80)
+    assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
+    private = stages["private_data"](spark, single, FOLDER)
+    assert private.columns == docs.columns and private.count() == single.count()
+    mix = stages["mixing"](spark, private, FOLDER)
+    taken = {r.doc_id: r.taken for r in mix_report(private).collect()}
+    sizes = Counter()
+    for r in mix.collect():
+        sizes[r.doc_id] += len(brute.words(r.text))
+    assert {i: n for i, n in taken.items() if n} == {i: n for i, n in sizes.items() if n}
+    last = stages["packing"](spark, mix, FOLDER).collect()
+    packed_sizes = Counter()
+    for r in last:
+        packed_sizes[r.doc_id] += r.size
+    assert packed_sizes == sizes
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (4, None)]
+    left = without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str(r.doc_id) for r in left) == ["1", "4", "None"]
