@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_NAMED = r"(?:password|passwd|token|secret|api_key) ?[=:] ?[\"']?"
+#: Every value holds one of these, so texts without them need no search.
+_HINT = r"[0-9@]|password|passwd|token|secret|api_key"
 #: In order: where two match at one place, the first counts.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-    r"|(?<=\b(?:password|passwd|token|secret|api_key) ?[=:] ?[\"']?)[A-Za-z0-9+/_-]{8,}+",
+    rf"|\b{_NAMED}[A-Za-z0-9+/_-]{{8,}}+",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "date": r"(?<![\w.-])(?:(?:1[89]|20|21)\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:1[89]|20|21)\d\d)(?![\w-])",
     "identity": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -156,11 +159,12 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _secret(value: Column, key: str) -> Column:
-    free = lambda c, rest: ~value.startswith("AKIA") | (F.length(rest) <= F.length(value) - 4)
-    hexadecimal = value.rlike("^[0-9a-f]+$")
-    return F.when(hexadecimal, _shown(permuted(_places(value, free, hexadecimal=True), "hex", key))).otherwise(
-        _shown(permuted(_places(value, free), "secret", key))
-    )
+    """The name before a credential, or the fixed beginning of a key, stays."""
+    name = F.regexp_extract(value, f"^(?:AKIA|{_NAMED})", 0)
+    body = F.substring(value, F.length(name) + 1, F.length(value))
+    free = lambda c, rest: F.lit(True)
+    moved = F.when(body.rlike("^[0-9a-f]+$"), _shown(permuted(_places(body, free, hexadecimal=True), "hex", key)))
+    return F.concat(name, moved.otherwise(_shown(permuted(_places(body, free), "secret", key))))
 
 
 def _number(kind: str, last: int) -> Callable[[Column, str], Column]:
@@ -178,21 +182,23 @@ _HOW: dict[str, Callable[[Column, str], Column]] = {
 
 def pseudonym(value: Column, key: str) -> Column:
     """What stands for one found value; a value that fails its validation stays as it is."""
-    out = _secret(value, key)  # found by what stands before it, so it may have any form
+    out = value
     for kind in reversed(_HOW):
-        if kind != "secret":
-            out = F.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), _HOW[kind](value, key)).otherwise(out)
+        out = F.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), _HOW[kind](value, key)).otherwise(out)
     return out
 
 
 def _rewritten(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` as __row, with the new __text and how many values it replaces."""
     rows = docs.select(F.struct("*").alias("__row"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumns({"found": F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)), "between": F.split("text", _ANY)})
+    hinted = F.col("text").rlike(_HINT)
+    rows = rows.withColumns(
+        {"found": F.when(hinted, F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))), "between": F.when(hinted, F.split("text", _ANY))}
+    )
     rows = rows.withColumn("other", F.transform("found", lambda v: pseudonym(v, key)))
     joined = F.array_join(F.flatten(F.zip_with("between", "other", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     changed = F.size(F.filter(F.zip_with("found", "other", lambda a, b: a != b), lambda x: x))
-    some = F.size("found") > 0
+    some = F.coalesce(F.size("found") > 0, F.lit(False))
     return rows.select(
         "__row", F.when(some, joined).otherwise(F.col("text")).alias("__text"),
         F.when(some, changed).otherwise(0).cast("long").alias("n_replaced"),
