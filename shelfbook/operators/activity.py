@@ -56,9 +56,9 @@ def store_sales(
 
     Without a store filter a location listed twice counts its sales twice, as in the source.
     """
-    rows = in_window(sales.filter(F.col("status") == "A"), "business_date", window, fresh)
     key = ["location_id", "xaction_type", "sales_xaction_id", "business_date"]
-    rows = _followed(rows, items).join(headers.select(*key, "end_date"), key)
+    sold = _followed(sales.filter(F.col("status") == "A"), items)
+    rows = in_window(sold, "business_date", window, fresh, heads=headers.select(*key, "end_date"), on=key)
     places = locations if stores is None else stores.select("location_id", "location_no").distinct()
     rows = lookup_join(rows, places.select("location_id", F.col("location_no").alias("loc")), ["location_id"])
     returned = F.coalesce(F.col("is_return") == "Y", F.lit(False))

@@ -209,7 +209,7 @@ def _days_above(floor: str) -> str:
 
 
 def _mean(days: str, units: str) -> str:
-    return f"{days} / CAST(nullif({units}, 0) AS DECIMAL(10,0))"
+    return f"{days} / CAST(nullif({units}, 0) AS DECIMAL(19,0))"
 
 
 def stored_ages(prefix: str, units: str) -> dict[str, str]:

@@ -21,7 +21,7 @@ def rows_per_day(ledgers: Mapping[str, DataFrame], ts: str) -> DataFrame:
         )
         for name, ledger in ledgers.items()
     ]
-    return reduce(DataFrame.unionByName, parts).distinct().orderBy("day", "ledger")
+    return reduce(DataFrame.unionByName, parts).orderBy("day", "ledger")
 
 
 def item_footprint(ledgers: Mapping[str, DataFrame]) -> DataFrame:
@@ -32,7 +32,7 @@ def item_footprint(ledgers: Mapping[str, DataFrame]) -> DataFrame:
         ).select(F.lit(name).alias("ledger"), "item", "min_ts", "max_ts", "num_rows")
         for name, ledger in ledgers.items()
     ]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def rank_footprint(footprint: DataFrame, as_of: datetime, limit: int = RUN_LIMIT) -> DataFrame:

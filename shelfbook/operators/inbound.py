@@ -59,9 +59,9 @@ def warehouse_push(
     codes = items.select("item_code")
 
     def one(detail: DataFrame, header: DataFrame) -> DataFrame:
-        lines = detail.withColumn("item_code", zero_pad(F.col("item"), 20))
-        shipped = lookup_join(lines, header.select("internal_shipment_num", "actual_ship_ts"), ["internal_shipment_num"])
-        shipped = lookup_join(in_window(shipped, "actual_ship_ts", window, fresh), codes, ["item_code"])
+        lines = lookup_join(detail.withColumn("item_code", zero_pad(F.col("item"), 20)), codes, ["item_code"])
+        heads = header.select("internal_shipment_num", "actual_ship_ts")
+        shipped = in_window(lines, "actual_ship_ts", window, fresh, heads=heads, on=["internal_shipment_num"])
         # A missing order type matches no category.
         typed = lookup_join(shipped, categories, ["order_type"], "left")
         pushed = F.when(F.col("order_category") == "Push", F.col("total_qty"))
@@ -88,11 +88,11 @@ def shipment_detail(
     stores: DataFrame | None = None,
 ) -> DataFrame:
     """Shipped quantity per (code, location, shipment), with its kind of key, origin and push quantity."""
-    lines = lookup_join(detail.filter(F.col("qty") > 0), header, ["transfer_id"])
+    lines = detail.filter(F.col("qty") > 0)
+    lines = in_window(lines, "date_received", window, fresh, heads=header, on=["transfer_id"])
     is_upc = F.col("item_code") >= FIRST_UPC_CODE
     # UPC codes are "shipped" from the warehouse only as a bookkeeping step.
     lines = lines.filter(~is_upc | (F.col("from_loc") != WAREHOUSE)).withColumnRenamed("to_loc", "loc")
-    lines = in_window(lines, "date_received", window, fresh)
     if stores is not None:
         lines = lookup_join(lines, stores.select(F.col("location_no").alias("loc")).distinct(), ["loc"])
     lines = lookup_join(lines, items.select("item_code", "ri_vendor_id"), ["item_code"])

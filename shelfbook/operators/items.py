@@ -79,7 +79,8 @@ def seed_links(
     links = _all_links(product_master, product_master_dist)
     codes = base.select("item_code")
     by_code = links.join(codes, "item_code", "left_semi")
-    by_report = links.join(codes.withColumnRenamed("item_code", "report_item_code"), "report_item_code", "left_semi")
+    reporting = links.filter(F.trim("report_item_code") != "")  # a blank matches nothing
+    by_report = reporting.join(codes.withColumnRenamed("item_code", "report_item_code"), "report_item_code", "left_semi")
     both = by_code.unionByName(by_report).join(excluded.select("item_code"), "item_code", "left_anti")
     return both.select("item_code", "rpt_it").distinct()
 
@@ -99,7 +100,8 @@ def expand_links(
     for column, known in (("item_code", "rpt_it"), ("report_item_code", "rpt_it"), ("report_item_code", "item_code")):
         links = durable(links)  # read three times by each pass
         reached = links.select(F.col(known).alias(column)).distinct()
-        added = every.join(links.select("item_code"), "item_code", "left_anti").join(reached, column, "left_semi")
+        able = every.filter(F.trim(column) != "")
+        added = able.join(links.select("item_code"), "item_code", "left_anti").join(reached, column, "left_semi")
         links = links.unionByName(added.select("item_code", "rpt_it").distinct())
     if reapply_excluded is not None:
         links = links.join(reapply_excluded.select("item_code"), "item_code", "left_anti")

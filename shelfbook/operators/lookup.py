@@ -5,45 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from shelfbook.operators.scan import LIST_LIMIT, RUN_LIMIT, find_long_runs
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``lookup`` (one row per key) without a hint and without a job of its own.
 
-
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate for ``df``; joins without statistics are estimated high."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    *,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    limit: int = RUN_LIMIT,
-) -> DataFrame:
-    """Join ``rows`` to ``lookup`` (one row per key) without ever gathering a frequent key.
-
-    A lookup whose estimated size is small is broadcast. Otherwise keys with more than ``limit`` rows
-    are dealt over several salts, and only their lookup rows are repeated, once per salt.
+    Sizes on disk say little about sizes in memory, so nothing forces a broadcast: Spark takes one by its
+    own threshold, or at run time by the size it has measured. Partitions of a frequent key are split at
+    run time too (``spark.sql.adaptive.skewJoin``, set in ``session.SETTINGS``).
     """
-    on = list(on)
-    if planned_bytes(lookup) <= broadcast_bytes:
-        return rows.join(F.broadcast(lookup), on, how)
-    frequent = find_long_runs(rows, on, limit)
-    if frequent is None:
-        return rows.join(lookup, on, how)
-    salts = frequent.table.select(*on, F.ceil(F.col("_rows") / limit).cast("int").alias("_salts"))
-    if frequent.groups <= LIST_LIMIT:
-        salts = F.broadcast(salts)
-    dealt = rows.join(salts, on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*rows.columns), F.coalesce(F.col("_salts"), F.lit(1))).cast("int")
-    )
-    repeated = lookup.join(salts, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    )
-    return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+    return rows.join(lookup, list(on), how)

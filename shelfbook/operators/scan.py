@@ -57,8 +57,8 @@ class LongRuns:
 
 
 def find_long_runs(df: DataFrame, keys: Sequence[str], limit: int = RUN_LIMIT) -> LongRuns | None:
-    """One counting pass (combined before its shuffle); None when every group is short enough."""
-    table = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    """One counting pass (combined before its shuffle), kept; None when every group is short enough."""
+    table = durable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit))
     groups, rows = table.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     return LongRuns(tuple(keys), table, groups, rows, limit) if groups else None
 

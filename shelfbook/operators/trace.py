@@ -50,7 +50,7 @@ def expand_lots(
     newer = Measure("_newer", "count", F.lit(1), "after")
     ranked = over_runs(starts.withColumnRenamed("lot_u", "u"), RUN, [newer], shape)
     lots = ranked.withColumnRenamed("u", "lot_u").withColumn("d_in_u", F.col("_newer") + 1).drop("_newer")
-    pairs = lookup_join(lots, rows, RUN, limit=shape.limit).filter(F.col("lot_u") <= F.col("u"))
+    pairs = lookup_join(lots, rows, RUN).filter(F.col("lot_u") <= F.col("u"))
     return plus(
         pairs,
         {
@@ -61,10 +61,10 @@ def expand_lots(
 
 
 def _left_of_lot(on_book: str) -> str:
-    return (
-        f"CASE WHEN btd_in_qty = 0 THEN 0 WHEN {on_book} >= btd_in_qty THEN in_qty "
-        f"ELSE CASE WHEN {on_book} - btd_in_qty + in_qty <= 0 THEN 0 ELSE {on_book} - btd_in_qty + in_qty END END"
-    )
+    """The lot less those of its units that lie below the floor; unknown where the book is."""
+    below = f"(btd_in_qty - {on_book})"
+    gone = f"CASE WHEN {below} > 0 THEN least({below}, in_qty) WHEN {below} <= 0 THEN 0L END"
+    return f"if(btd_in_qty = 0, 0L, in_qty - {gone})"
 
 
 def fifo_remaining(pairs: DataFrame, shape: Shape) -> DataFrame:
@@ -89,7 +89,7 @@ def trace_ages(
     totals = ages(ledger, adjustments, shape, chosen).drop(
         "item_code", "sku_ext", "xacn", "ts", "flow", "qty"
     )
-    return lookup_join(lots, totals, PLACE, limit=shape.limit)
+    return lookup_join(lots, totals, PLACE)
 
 
 def trace_book(

@@ -61,15 +61,20 @@ def ages_with_negative_lots(rows: DataFrame, shape: Shape) -> DataFrame:
     questions = wide.select(
         *RUN, "u", "hour", "b_units", "flow", F.explode("per_variant").alias("v")
     ).select(*RUN, "u", "hour", "b_units", "flow", "v.*")
-    met = lookup_join(questions, _blocks(rows), RUN, limit=shape.limit).filter(F.col("first_u") <= F.col("u"))
+    met = lookup_join(questions, _blocks(rows), RUN).filter(F.col("first_u") <= F.col("u"))
     age = even.age_micros("hour - x.lot_hour")
     summed = lambda term: f"aggregate(block_lots, 0L, (a, x) -> a + {term})"
+    # Ages times units may leave 64 bits.
+    product = lambda left: f"CAST(({age}) AS DECIMAL(19,0)) * CAST({left} AS DECIMAL(19,0))"
+    weighed = lambda left: (
+        f"aggregate(block_lots, CAST(0 AS DECIMAL(38,0)), (a, x) -> CAST(a + {product(left)} AS DECIMAL(38,0)))"
+    )
     met = even.plus(
         met,
         {
             "units": summed(_left("on_before")),
-            "micros": summed(f"({age}) * {_left('on_before')}"),
-            "micros_after": f"CASE WHEN flow = 'out' THEN {summed(f'({age}) * ' + _left('on_after'))} END",
+            "micros": weighed(_left("on_before")),
+            "micros_after": f"CASE WHEN flow = 'out' THEN {weighed(_left('on_after'))} END",
         },
     )
     earlier = Window.partitionBy(*QUESTION).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -25,17 +26,30 @@ def new_items(items: DataFrame, ledger: DataFrame) -> DataFrame:
     return items.select("item_code").join(ledger.select("item_code").distinct(), "item_code", "left_anti")
 
 
-def in_window(df: DataFrame, ts: str, window: Window, fresh: DataFrame, code: str = "item_code") -> DataFrame:
-    """Rows inside the window, and earlier rows of new items.
+def in_window(
+    df: DataFrame,
+    ts: str,
+    window: Window,
+    fresh: DataFrame,
+    code: str = "item_code",
+    heads: DataFrame | None = None,
+    on: Sequence[str] = (),
+) -> DataFrame:
+    """Rows inside the window, and earlier rows of new items; with ``heads`` also joined to those by ``on``.
 
     Two branches instead of one either-or filter: the first is a plain date range that reaches the scan,
-    the second disappears at run time when there are no new items.
+    the second disappears at run time when there are no new items. Each branch meets the heads of its own
+    dates only, and the second one is cut down to new items before it does.
     """
+
+    def headed(rows: DataFrame) -> DataFrame:
+        return rows if heads is None else rows.join(heads, list(on))
+
     at = F.col(ts)
     known = fresh.select(F.col("item_code").alias(code))
     if window.start is None:
-        return df.filter(at < moment(window.end)).join(known, code, "left_semi")
-    recent = df.filter((at >= moment(window.start)) & (at < moment(window.end)))
+        return headed(df.join(known, code, "left_semi")).filter(at < moment(window.end))
+    recent = headed(df).filter((at >= moment(window.start)) & (at < moment(window.end)))
     start = min(window.start, window.end)
-    older = df.filter(at < moment(start)).join(known, code, "left_semi")
+    older = headed(df.join(known, code, "left_semi")).filter(at < moment(start))
     return recent.unionByName(older)

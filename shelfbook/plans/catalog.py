@@ -46,14 +46,15 @@ class Work:
 
     # catalogue
 
+    @cached_property
     def excluded(self) -> DataFrame:
-        return items.excluded_items(self.s.product_master, self.s.base_inventory, GENERAL.exclude)
+        return durable(items.excluded_items(self.s.product_master, self.s.base_inventory, GENERAL.exclude))
 
     def base(self) -> DataFrame:
-        return items.select_items(self.s.product_master, self.excluded(), GENERAL.items, AS_OF)
+        return items.select_items(self.s.product_master, self.excluded, GENERAL.items, AS_OF)
 
     def seeds(self) -> DataFrame:
-        return items.seed_links(self.s.product_master, self.s.product_master_dist, self.base(), self.excluded())
+        return items.seed_links(self.s.product_master, self.s.product_master_dist, self.base(), self.excluded)
 
     def links(self) -> DataFrame:
         return items.expand_links(self.seeds(), self.s.product_master, self.s.product_master_dist)
@@ -114,13 +115,14 @@ class Work:
             self.s.transit,
         )
 
+    @cached_property
     def first_detail(self) -> DataFrame:
         staged = durable(self.staged(FIRST_LOAD))
         empty = staged.withColumns({**inbound.derived_columns(True), "last_update": moment(FIRST_RUN)})
         return inbound.insert_inbound(empty.filter("false").select(*inbound.DETAIL_COLUMNS), staged, FIRST_RUN)
 
     def applied(self) -> DataFrame:
-        return inbound.apply_receipts(self.first_detail(), self.second_staged, SECOND_RUN)
+        return inbound.apply_receipts(self.first_detail, self.second_staged, SECOND_RUN)
 
     @cached_property
     def second_staged(self) -> DataFrame:
@@ -174,7 +176,7 @@ class Work:
 
     def inbound_ledger(self) -> DataFrame:
         return maintain.append_inbound(
-            self.sales_ledger(), self.first_detail(), self.item_names(), FIRST_RUN
+            self.sales_ledger(), self.first_detail, self.item_names(), FIRST_RUN
         )
 
     # ledger
@@ -275,7 +277,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
-    "excluded_items": Work.excluded,
+    "excluded_items": lambda w: w.excluded,
     "select_items": Work.base,
     "seed_links": Work.seeds,
     "expand_links": Work.links,

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A frequent key is split even where the split costs one more shuffle afterwards.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # Compiled steps longer than the JVM optimises are better run as several short ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -274,12 +274,16 @@ class Standins:
             "concat('F', CAST(r_regionkey % 5 + 1 AS STRING)) AS facility_id", f"{place('r_regionkey')} AS location_no"
         )
 
+    @cached_property
+    def parts(self) -> int:
+        return self.table("part").count()
+
     def _events(self, channel: int) -> DataFrame:
         paid = cents("value")
         return self.table("events").filter(f"user_id % 2 = {channel}").selectExpr(
             "event_id",
             "concat('F', CAST(user_id % 5 + 1 AS STRING)) AS facility_id",
-            f"concat(CASE WHEN event_id % 10 = 9 THEN 'S' ELSE 'D' END, {code('event_id % 200')}) AS sku",
+            f"concat(CASE WHEN event_id % 10 = 9 THEN 'S' ELSE 'D' END, {code(f'event_id % {self.parts}')}) AS sku",
             "ts",
             "event_type",
             f"{paid} AS paid",

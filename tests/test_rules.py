@@ -188,13 +188,16 @@ def test_order_types_and_refunds(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_frequent_keys_are_dealt_over_salts(spark, how):
+def test_lookups_are_plain_joins_without_hint_or_job(spark, how):
     rows = spark.range(300).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k")
     lookup = spark.range(0, 200).selectExpr("id AS k", "id * 2 AS v")
     plain = sorted(tuple(r) for r in rows.join(lookup, "k", how).collect())
-    dealt = lookup_join(rows, lookup, ["k"], how, broadcast_bytes=0, limit=10)
-    assert sorted(tuple(r) for r in dealt.collect()) == plain
-    assert "_salt" in dealt._jdf.queryExecution().toString()
+    spark.sparkContext.setJobGroup("lookup", "planning")
+    joined = lookup_join(rows, lookup, ["k"], how)
+    text = joined._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in text
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    assert sorted(tuple(r) for r in joined.collect()) == plain
 
 
 def test_populations():
