@@ -6,8 +6,9 @@ the child named by its own value there, so two documents stay together with a ch
 Documents that are known to be linked carry a common label, brought up to date before each level, and a node of one label
 is finished. A document outside its node's most frequent label is open. On the first level, nodes with few open documents
 compare those with all others, and in the rest every document is compared with one pivot. After that, what is still
-open in a node is compared with the whole node in cells of bounded size, inside tasks that return only links that join
-labels; nodes too large for this are compared with a pivot and branch again. So a large group of near copies is linked by
+open in a node is compared with the whole node inside tasks that return only links that join labels; nodes with more
+pairs than a cell holds are compared with a pivot and branch again, so that the copies made for cells grow with a node and
+not with its square. What is left after the last level is compared in cells of bounded size, however large the node is. So a large group of near copies is linked by
 stars, and its pairs are never rows.
 
 Two documents of the wanted similarity s meet in a node of the first level with a chance of 1 - (1 - s)**(trees * branch):
@@ -138,7 +139,7 @@ def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
 
 
 def near_text_classes(
-    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, branch: int = 2, small: int = 32, levels: int = 8, exhaustive: int = 1 << 24
+    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, branch: int = 2, small: int = 32, levels: int = 8, exhaustive: int = CELL * CELL
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text; other columns are not read).
 
