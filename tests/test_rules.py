@@ -192,11 +192,11 @@ def test_lookups_are_plain_joins_without_hint_or_job(spark, how):
     rows = spark.range(300).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k")
     lookup = spark.range(0, 200).selectExpr("id AS k", "id * 2 AS v")
     plain = sorted(tuple(r) for r in rows.join(lookup, "k", how).collect())
-    spark.sparkContext.setJobGroup("lookup", "planning")
+    spark.sparkContext.setJobGroup(f"lookup-{how}", "planning")
     joined = lookup_join(rows, lookup, ["k"], how)
     text = joined._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in text
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"lookup-{how}")
     assert sorted(tuple(r) for r in joined.collect()) == plain
 
 

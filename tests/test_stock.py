@@ -143,3 +143,10 @@ def test_trace_holds_the_lots_of_the_chosen_rows(spark, limit):
         held.setdefault(key, [Decimal(0), r["inv_days"]])[0] += r["in_age"] * r["septa"]
     assert all(total == days for total, days in held.values())
     assert trace_book(ledger, adj, chosen, shape).count() == lots
+
+
+@pytest.mark.parametrize("second", [3, -1])
+def test_large_quantities_and_long_ages(spark, second):
+    years = 262_980  # hours in thirty years
+    entries = [(0, "in", 20_000_000_000, None), (24, "in", second, None), (years, "out", -4, None), (years + 24, "out", -7, None)]
+    check_against_pairs(spark, ledger_rows(entries))
