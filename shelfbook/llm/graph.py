@@ -8,21 +8,29 @@ from pyspark.sql import functions as F
 from shelfbook.session import durable
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``links`` (a, b) -> (id, component): every id that has a link, with the smallest id reachable.
 
-    Large and small star steps in turn, until nothing moves: each step groups the neighbours of an id and hangs
-    them on the smallest one. Only minima are grouped, combined before the shuffle; the join that deals them out is
-    an ordinary one, which AQE splits for an id with very many links. Rounds grow with the logarithm of the longest
-    path. Each round is a written table, so a lost executor repeats no earlier round.
+    Large and small star steps in turn, until each id hangs on one other and none of those hangs on a further one: each
+    step groups the neighbours of an id and hangs them on the smallest one. Only minima are grouped, combined before the
+    shuffle; the join that deals them out is an ordinary one, which AQE splits for an id with very many links. Rounds grow
+    with the logarithm of the longest path. Each round is a written table, so a lost executor repeats no earlier round.
+
+    ``known`` is the result for earlier links. The new ones are then taken as links between its components, so that
+    the rounds see no earlier link again, and the result covers both.
     """
-    edges = durable(
-        links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("v <> u").distinct()
-    )
-    before = None
+    ends = links.select("a", "b")
+    if known is not None:
+        for end in ("a", "b"):
+            to = known.select(F.col("id").alias(end), F.col("component").alias("to"))
+            ends = ends.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    edges = durable(ends.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("v <> u").distinct())
     while True:
         both = edges.select("u", "v").union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        near = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        if not near.filter("m < u and n > 1").count():
+            break
+        least = near.select("u", F.least("u", "m").alias("m"))
         large = edges.join(least, "u").select("v", "m")  # v > u, so v hangs on what u sees
         small = large.groupBy("v").agg(F.min("m").alias("least"))
         moved = large.join(small, "v")
@@ -31,12 +39,10 @@ def components(links: DataFrame) -> DataFrame:
             .union(moved.filter("m <> least").select(F.col("m").alias("v"), F.col("least").alias("u")))
             .distinct()
         )
-        # every id hangs on one other, and none of those hangs on a further one
-        n, ids, s = edges.agg(
-            F.count(F.lit(1)), F.count_distinct("v"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if not n or (before == (n, s) and n == ids):
-            return edges.select(F.col("v").alias("id"), F.col("u").alias("component")).union(
-                edges.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
-            )
-        before = (n, s)
+    found = edges.select(F.col("v").alias("id"), F.col("u").alias("component")).union(
+        edges.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
+    )
+    if known is None:
+        return found
+    carried = known.join(found.toDF("component", "to"), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return durable(carried.union(found.join(known.select("id"), "id", "left_anti")))

@@ -156,8 +156,7 @@ def near_text_classes(
         .agg(F.min("doc_id").alias("id"), F.max("signature").alias("signature"))
     )
     classes = durable(classes)
-    links = _links(texts, classes, k, percent, trees, branch, small, levels, exhaustive)
-    found = components(links)
+    found = _labels(texts, classes, k, percent, trees, branch, small, levels, exhaustive)
     known = classes.join(found, "id", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "id").alias("component"))
     named = sketches.filter("doc_id is not null").join(known, ["n_shingles", "h1", "h2"], "left")
     return (
@@ -167,10 +166,10 @@ def near_text_classes(
     )
 
 
-def _links(
+def _labels(
     texts: DataFrame, classes: DataFrame, k: int, percent: int, trees: int, branch: int, small: int, levels: int, exhaustive: int
 ) -> DataFrame:
-    """Confirmed links (a, b) between classes; enough of them to connect all that are linked."""
+    """(id, component) of the classes that have confirmed links; enough links are found to connect all that are linked."""
     chance = percent / 100
     agreeing = math.floor(PLACES * chance - 5 * math.sqrt(PLACES * chance * (1 - chance)))
     signatures = classes.select("id", "signature")
@@ -179,7 +178,7 @@ def _links(
         classes.select("id", F.col("n_shingles").alias("n"), F.col("id").alias("label"), "signature", at.alias("at"))
         .select("id", "n", "label", F.xxhash64("at", F.get("signature", "at")).alias("node"))
     )
-    links: DataFrame | None = None
+    labels: DataFrame | None = None
     candidates: DataFrame | None = None
     for level in range(1, levels + 1):
         first, last = level == 1, level == levels
@@ -238,11 +237,9 @@ def _links(
                 .join(candidates.toDF("id", "text"), "id")
             )
             confirmed = confirmed.union(cells.groupBy("node", "i", "j").applyInArrow(_join_labels(k, percent), "a long, b long"))
-        confirmed = durable(confirmed)
-        links = confirmed if links is None else links.union(confirmed)
+        labels = components(durable(confirmed), labels)
         if large.isEmpty():
             break
-        labels = components(links)
         # each node chooses its places by its own name
         choice = F.explode(F.array(*[F.pmod(F.xxhash64("node", F.lit(i)), F.lit(PLACES)).cast("int") for i in range(branch)]))
         rows = (
@@ -252,7 +249,7 @@ def _links(
             .select("id", "n", F.coalesce("component", "id").alias("label"), "node", "signature", choice.alias("at"))
             .select("id", "n", "label", F.xxhash64("node", "at", F.get("signature", "at")).alias("node"))
         )
-    return links
+    return labels
 
 
 def without_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

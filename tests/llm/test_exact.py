@@ -81,6 +81,17 @@ def test_components(spark):
     assert got == {i: groups.find(i) for i in groups.up if groups.find(i) != i or i in got}
 
 
+def test_components_carried_on(spark):
+    random = np.random.default_rng(3)
+    parts = [random.integers(0, 300, (n, 2)).tolist() for n in (0, 60, 40, 80, 50)]
+    schema = "a long, b long"
+    labels = None
+    for i, part in enumerate(parts):
+        labels = components(spark.createDataFrame(part, schema), labels)
+        at_once = components(spark.createDataFrame([p for q in parts[: i + 1] for p in q], schema))
+        assert sorted(labels.collect()) == sorted(at_once.collect())
+
+
 def test_passages(spark, docs, texts):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passage_digests(docs).collect()}
     assert got == brute.passages(list(texts.items()), 50)
