@@ -1,10 +1,7 @@
-"""Near-duplicate vectors by a robust-pruned flat graph.
+"""Near-duplicate vectors by exact comparison within overlapping shards.
 
 Equal vectors become one class. Diverse centres from a bounded sample cut the classes into overlapping shards: every
-class joins its nearest few centres. Each shard builds a graph: of a node's nearest and some random candidates
-robust pruning keeps those that no kept one dominates. The adjacency lists of all shards are united. A range-expanding greedy
-search then runs in each shard over the united lists, from the shard's medoids and from the query's own node, first towards the
-query and then through all that lies in range; every pair it finds is verified by its cosine in double precision.
+class joins its nearest few centres. In each shard every pair is compared, and the cosine in double precision decides.
 A shard above the size limit is cut into blocks, and each two blocks make a cell that is treated as a shard, so that
 no pair of a large group is left out.
 """
@@ -26,10 +23,6 @@ PER_CENTRE = 384  # classes for which a centre is taken, as long as the limit al
 OVERLAP = 4  # nearest centres whose shards a class joins
 CELL = 4096  # most classes in a shard or cell
 APART = 0.7  # centres are less similar than this
-DEGREE, CANDIDATES, RANDOM = 16, 32, 8
-ALPHA = 1.2
-BEAM, MEDOIDS, STEPS = 6, 8, 16
-SLACK = 0.03  # nodes so far below the threshold are still walked through
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -40,175 +33,64 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def pruned(x: np.ndarray, seed: int = 5) -> np.ndarray:
-    """Neighbours (rows by DEGREE, -1 for none) of every row by robust pruning of its candidates."""
-    n = len(x)
-    width = min(CANDIDATES, n - 1)
-    random = np.random.default_rng(seed)
-    out = np.full((n, DEGREE), -1, np.int32)
-    if width < 1:
-        return out
-    for low in range(0, n, 512):
-        own = np.arange(low, min(n, low + 512))
-        sims = x[own] @ x.T
-        sims[np.arange(len(own)), own] = -2
-        best = np.argpartition(-sims, width - 1, axis=1)[:, :width]
-        cand = np.concatenate([best, random.integers(0, n, (len(own), RANDOM))], axis=1)
-        to_cand = np.take_along_axis(sims, cand, axis=1)
-        order = np.argsort(-to_cand, axis=1, kind="stable")
-        cand, to_cand = np.take_along_axis(cand, order, axis=1), np.take_along_axis(to_cand, order, axis=1)
-        alive = to_cand > -2  # not the node itself
-        points = x[cand]
-        far = np.maximum(2 - 2 * to_cand, 0)
-        rows = np.arange(len(own))
-        for k in range(DEGREE):
-            first = alive.argmax(axis=1)
-            some = alive[rows, first]
-            if not some.any():
-                break
-            chosen = cand[rows, first]
-            out[own[some], k] = chosen[some]
-            between = np.maximum(2 - 2 * np.einsum("ncd,nd->nc", points, x[chosen]), 0)
-            alive &= ALPHA * ALPHA * between > far  # distances are squared
-            alive[rows, first] = False
-    return out
-
+def within(x: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of ``x`` have a cosine of at least ``threshold`` with which others, in double precision.
 
-def _fresh(query: np.ndarray, node: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs not seen before, once each; they are marked as seen."""
-    n = seen.shape[1]
-    flat = np.unique(query.astype(np.int64) * n + node)
-    flat = flat[~seen.ravel()[flat]]
-    seen.ravel()[flat] = True
-    return flat // n, flat % n
+    Products in single precision settle all pairs but those closer to the threshold than their rounding error can be.
+    """
+    n, d = x.shape
+    rough = (d + 2) * 2.0**-23
+    single = x.astype(np.float32)
+    near = np.empty((n, n), bool)
+    for low in range(0, n, 512):
+        sims = single[low : low + 512] @ single.T
+        near[low : low + 512] = sims >= threshold
+        a, b = np.nonzero(np.abs(sims - threshold) <= rough)
+        near[low + a, b] = _cosines(x, low + a, b) >= threshold
+    np.fill_diagonal(near, False)
+    return near
 
 
-def _cosines(x: np.ndarray, query: np.ndarray, node: np.ndarray) -> np.ndarray:
-    out = np.empty(len(query))
-    for low in range(0, len(query), 1 << 15):
+def _cosines(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.empty(len(a))
+    for low in range(0, len(a), 1 << 15):
         part = slice(low, low + (1 << 15))
-        out[part] = np.einsum("nd,nd->n", x[query[part]], x[node[part]])
+        out[part] = np.einsum("nd,nd->n", x[a[part]], x[b[part]])
     return out
 
 
-def searched(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (place in ``queries``, node) with a cosine of at least ``threshold`` that the searches find."""
-    n = len(x)
-    centre = x.mean(axis=0)
-    medoids = [int((x @ centre).argmax())]
-    worst = x @ x[medoids[0]]
-    while len(medoids) < min(MEDOIDS, n):  # one after the other, the node least like those before
-        medoids.append(int(worst.argmin()))
-        worst = np.maximum(worst, x @ x[medoids[-1]])
-    q = len(queries)
-    seen = np.zeros((q, n), bool)
-    rows = np.arange(q)
-    query, node = _fresh(
-        np.concatenate([np.repeat(rows, len(medoids)), rows]), np.concatenate([np.tile(medoids, q), queries]), seen
-    )
-    cosine = _cosines(x, queries[query], node)
-    got = [(query, node, cosine)]
-    beam = np.full((q, BEAM), -1)
-    value = np.full((q, BEAM), -3.0)
-    walked = np.ones((q, BEAM), bool)
-    for _ in range(STEPS):  # towards the query
-        all_query = np.concatenate([np.repeat(rows, BEAM), query])
-        all_node = np.concatenate([beam.ravel(), node])
-        all_value = np.concatenate([value.ravel(), cosine])
-        all_walked = np.concatenate([walked.ravel(), np.zeros(len(query), bool)])
-        order = np.lexsort((-all_value, all_query))
-        place = np.arange(len(order)) - np.searchsorted(all_query[order], all_query[order])
-        order = order[place < BEAM]
-        beam, value, walked = (a[order].reshape(q, BEAM).copy() for a in (all_node, all_value, all_walked))
-        open_ = ~walked & (beam >= 0)
-        left = open_.any(axis=1)
-        if not left.any():
-            break
-        first = open_.argmax(axis=1)
-        walked[rows[left], first[left]] = True
-        nodes = adjacency[beam[rows[left], first[left]]]
-        query, node = np.repeat(rows[left], nodes.shape[1]), nodes.ravel()
-        query, node = _fresh(query[node >= 0], node[node >= 0], seen)
-        cosine = _cosines(x, queries[query], node)
-        got.append((query, node, cosine))
-    query, node, cosine = (np.concatenate(a) for a in zip(*got))
-    inside = cosine >= threshold - SLACK
-    query, node, cosine = query[inside], node[inside], cosine[inside]
-    found = [(query, node, cosine)]
-    while len(query):  # through all that is in range
-        fresh = []
-        for low in range(0, len(query), 1 << 16):
-            part = slice(low, low + (1 << 16))
-            nodes = adjacency[node[part]]
-            a, b = np.repeat(query[part], nodes.shape[1]), nodes.ravel()
-            a, b = _fresh(a[b >= 0], b[b >= 0], seen)
-            c = _cosines(x, queries[a], b)
-            inside = c >= threshold - SLACK
-            fresh.append((a[inside], b[inside], c[inside]))
-        query, node, cosine = (np.concatenate(a) for a in zip(*fresh))
-        found.append((query, node, cosine))
-    query, node, cosine = (np.concatenate(a) for a in zip(*found))
-    near = (cosine >= threshold) & (queries[query] != node)
-    return query[near], node[near]
-
-
-def _lists(flat: np.ndarray, owner: np.ndarray, n: int, *, weights: np.ndarray | None = None) -> pa.Array:
-    order = np.argsort(owner, kind="stable")
-    offsets = np.searchsorted(owner[order], np.arange(n + 1))
-    values = pa.array(flat[order], pa.int64())
-    if weights is not None:
-        values = pa.StructArray.from_arrays([values, pa.array(weights[order], pa.int64())], ["id", "weight"])
+def roots(near: np.ndarray) -> np.ndarray:
+    """The first row that links lead to from each row."""
+    n = len(near)
+    root = np.arange(n)
+    seen = ~near.any(axis=1)
+    for first in range(n):
+        if seen[first]:
+            continue
+        seen[first] = True
+        front = np.array([first])
+        while len(front):
+            root[front] = first
+            reached = near[front].any(axis=0) & ~seen
+            seen |= reached
+            front = np.flatnonzero(reached)
+    return root
+
+
+def _lists(flat: np.ndarray, owner: np.ndarray, n: int, weights: np.ndarray) -> pa.Array:
+    offsets = np.searchsorted(owner, np.arange(n + 1))
+    values = pa.StructArray.from_arrays([pa.array(flat, pa.int64()), pa.array(weights, pa.int64())], ["id", "weight"])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def _build(cell: pa.Table) -> pa.Table:
-    ids = cell["id"].to_numpy()
-    order = np.argsort(ids)
-    ids, near = ids[order], pruned(_matrix(cell["vector"])[order])
-    owner, slot = np.nonzero(near >= 0)
-    to = near[owner, slot]
-    # edges both ways, so that what points to a node can be reached from it
-    return pa.table({"id": ids, "next": _lists(ids[np.concatenate([to, owner])], np.concatenate([owner, to]), len(ids))})
-
-
-def _search(threshold: float):
+def _links(threshold: float):
     def run(cell: pa.Table) -> pa.Table:
         ids = cell["id"].to_numpy()
         order = np.argsort(ids)
-        ids, x, weight = ids[order], _matrix(cell["vector"])[order], cell["weight"].to_numpy()[order]
-        n = len(ids)
-        lists = cell["next"].combine_chunks().take(pa.array(order))
-        flat = np.asarray(lists.flatten(), np.int64)
-        owner = np.repeat(np.arange(n), np.diff(np.asarray(lists.offsets, np.int64)))
-        at = np.minimum(np.searchsorted(ids, flat), n - 1)
-        here = ids[at] == flat  # neighbours that are in this cell
-        at, owner = at[here], owner[here]
-        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        adjacency = np.full((n, max(1, int(place.max()) + 1 if len(place) else 1)), -1, np.int64)
-        adjacency[owner, place] = at
-        if adjacency.shape[1] > 4 * DEGREE:  # many point to a few nodes: leave those few their nearest
-            for row in np.flatnonzero(adjacency[:, 4 * DEGREE] >= 0):
-                to = adjacency[row][adjacency[row] >= 0]
-                keep = to[np.argsort(-(x[to] @ x[row]), kind="stable")[: 4 * DEGREE]]
-                adjacency[row] = -1
-                adjacency[row, : len(keep)] = keep
-            adjacency = adjacency[:, : 4 * DEGREE]
-        pairs = []
-        for low in range(0, n, 1024):
-            queries = np.arange(low, min(n, low + 1024))
-            query, node = searched(x, adjacency, queries, threshold)
-            pairs.append(queries[query] * n + node)
-        flat = np.concatenate(pairs)
-        a, b = np.divmod(np.unique(np.concatenate([flat, flat % n * n + flat // n])), n)
-        root = np.arange(n)
-        while len(a):  # smallest node that links within the cell lead to
-            least = root.copy()
-            np.minimum.at(least, a, root[b])
-            least = least[least]
-            if (least == root).all():
-                break
-            root = least
-        return pa.table({"id": ids, "near": _lists(ids[b], a, n, weights=weight[b]), "root": ids[root]})
+        ids, weight = ids[order], cell["weight"].to_numpy()[order]
+        near = within(_matrix(cell["vector"])[order], threshold)
+        a, b = np.nonzero(near)
+        return pa.table({"id": ids, "near": _lists(ids[b], a, len(ids), weight[b]), "root": ids[roots(near)]})
 
     return run
 
@@ -254,11 +136,7 @@ def _graph(classes: DataFrame, n: int, threshold: float, cell: int) -> DataFrame
     cells = placed.select("*", other.alias("other")).select(
         "id", "vector", "weight", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    built = cells.groupBy("shard", "i", "j").applyInArrow(_build, "id long, next array<long>")
-    united = built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
-    return cells.join(united, "id").groupBy("shard", "i", "j").applyInArrow(
-        _search(threshold), "id long, near array<struct<id:long,weight:long>>, root long"
-    )
+    return cells.groupBy("shard", "i", "j").applyInArrow(_links(threshold), "id long, near array<struct<id:long,weight:long>>, root long")
 
 
 def near_vector_classes(vectors: DataFrame, threshold: float = 0.9, cell: int = CELL) -> DataFrame:

@@ -245,6 +245,27 @@ def test_near_vectors(spark, cell):
     assert audit(docs, result, every=3) >= 0.99
 
 
+def nested_groups(pick, groups=5, size=100, others=400, d=64):
+    """Tight groups (cosine about 0.99 inside) that lie wholly in range of each other (about 0.94), and vectors of their own."""
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    middle = unit(unit(pick.normal(size=(1, d))) + 0.25 * unit(pick.normal(size=(groups, d))))
+    members = [unit(m + 0.1 * unit(pick.normal(size=(size, d)))) for m in middle]
+    return np.concatenate([*members, unit(pick.normal(size=(others, d)))])
+
+
+@pytest.mark.parametrize("cell", [4096, 128])
+def test_nested_groups_of_vectors(spark, cell):
+    x = nested_groups(np.random.default_rng(11))
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    result = near_vector_classes(docs, cell=cell)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in result.collect()}
+    want = exact_links(range(len(x)), x)
+    found, links = sum(n for n, _ in got.values()), sum(n for n, _ in want.values())
+    print(f"links {found} of {links}")
+    assert got == want
+    assert audit(docs, result, every=3) == 1
+
+
 def test_languages_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     true = {r.doc_id: r.lang for r in docs.collect()}
