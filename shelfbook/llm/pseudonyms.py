@@ -17,22 +17,25 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAMED = r"(?:password|passwd|token|secret|api_key) ?[=:] ?[\"']?"
+_NAMED = r"(?i:password|passwd|token|secret|api_key) ?[=:] ?[\"']?"
 #: Every value holds one of these, so texts without them need no search.
-_HINT = r"[0-9@]|password|passwd|token|secret|api_key"
+_HINT = r"[0-9@]|AKIA|(?i:password|passwd|token|secret|api_key)"
 #: In order: where two match at one place, the first counts.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
     rf"|\b{_NAMED}[A-Za-z0-9+/_-]{{8,}}+",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
-    "date": r"(?<![\w.-])(?:(?:1[89]|20|21)\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:1[89]|20|21)\d\d)(?![\w-])",
+    "date": r"(?<![\w.-])(?:(?:1[89]|20|21)\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:1[89]|20|21)\d\d)(?:(?![\w-])|(?=T\d))",
     "identity": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "account": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w)"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)",
+    "card": "",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]|(?:\(\d{3}\) ?|\d{3} )\d{3} )\d{4}(?!\w)"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w)",
 }
+# a whole run of digit groups up to where a value of another kind begins; the cards are looked for within it
+_OTHER = "|".join(f"(?:{PATTERNS[kind]})" for kind in ("email", "ip", "date", "identity", "phone"))
+PATTERNS["card"] = rf"(?<![\w-])(?=\d(?:[ -]?\d){{12}})(?:(?:(?<=\d)[ -])?(?!{_OTHER})\d++(?!\w|-(?!\d)))++"
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 #: digits, capitals, small letters, and digits of base 16 as they are written in small letters
@@ -69,8 +72,9 @@ def _shown(units: Column) -> Column:
     return F.array_join(F.transform(units, letter), "")
 
 
-def _places(value: Column, free: Callable[[Column, Column], Column], hexadecimal: bool = False) -> Column:
+def _places(value: Column, free: Callable[[Column, Column], Column], hexadecimal: str = "") -> Column:
     """Units of the characters of ``value``; those for which ``free``(character, characters from it on) fails stay.
+    ``hexadecimal`` is a for digits of base 16 with small letters, A for those with capitals.
 
     Units count from the end, so that separators and a prefix make no difference.
     """
@@ -83,7 +87,8 @@ def _places(value: Column, free: Callable[[Column, Column], Column], hexadecimal
         radix = F.when(c.rlike("[0-9]"), 10).otherwise(26)
         low = F.when(c.rlike("[0-9]"), 0).when(c.rlike("[A-Z]"), 10).otherwise(36)
         if hexadecimal:
-            return F.when(moves, _unit(at - 1 - F.when(c.rlike("[0-9]"), 0).otherwise(26), 16, 62, behind, c)).otherwise(_unit(F.lit(0), 1, 0, behind, c))
+            skipped = F.when(c.rlike("[a-f]"), 26).otherwise(0)
+            return F.when(moves, _unit(at - 1 - skipped, 16, 62 if hexadecimal == "a" else 0, behind, c)).otherwise(_unit(F.lit(0), 1, 0, behind, c))
         return F.when(moves, _unit(at - 1 - low, radix, low, behind, c)).otherwise(_unit(F.lit(0), 1, 0, behind, c))
 
     return F.transform(F.sequence(F.lit(1), F.length(value)), unit)
@@ -112,11 +117,52 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, r"\D", "")
 
 
-def _card(value: Column, key: str) -> Column:
+def _cards(value: Column) -> Column:
+    """(p, l), in order of places: where the cards of a run of digit groups begin, and their lengths. A card is some whole
+    groups with 13 to 19 digits and a right check digit; of overlapping ones the longest counts, then the first."""
+
+    def within(groups: Column) -> Column:
+        n = F.size(groups)
+        joined = lambda i, k, by: F.array_join(F.slice(groups, i + 1, k), by)
+        spans = F.flatten(
+            F.transform(
+                F.sequence(F.lit(0), n - 1),
+                lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(19), n - i)), lambda k: F.struct(i.alias("i"), k.alias("k"), joined(i, k, "").alias("digits"))),
+            )
+        )
+        valid = F.filter(spans, lambda s: F.length(s["digits"]).between(13, 19) & (_luhn(s["digits"]) == 0))
+        begin = lambda i: F.when(i > 0, F.length(joined(F.lit(0), i, " ")) + 2).otherwise(1)
+        placed = F.transform(
+            valid,
+            lambda s: F.struct((-F.length(s["digits"])).alias("size"), begin(s["i"]).alias("p"), F.length(joined(s["i"], s["k"], " ")).alias("l")),
+        )
+        meets = lambda c, s: (c["p"] < s["p"] + s["l"]) & (s["p"] < c["p"] + c["l"])
+        chosen = F.aggregate(
+            F.transform(F.array_sort(placed), lambda s: F.struct(s["p"].alias("p"), s["l"].alias("l"))),
+            F.array().cast("array<struct<p:int,l:int>>"),
+            lambda so_far, s: F.when(F.exists(so_far, lambda c: meets(c, s)), so_far).otherwise(F.concat(so_far, F.array(s))),
+        )
+        return F.array_sort(chosen)
+
+    return F.get(F.transform(F.array(F.regexp_extract_all(value, F.lit(r"\d+"), F.lit(0))), within), 0)
+
+
+def _one_card(value: Column, key: str) -> Column:
     moved = _shown(permuted(_places(value, lambda c, rest: F.length(_digits(rest)) > 1), "card", key))
     body = F.substring(moved, F.lit(1), F.length(moved) - 1)
     check = (10 - _luhn(F.concat(_digits(body), F.lit("0")))) % 10
-    return F.when(_luhn(_digits(value)) == 0, F.concat(body, check.cast("string"))).otherwise(value)
+    return F.concat(body, check.cast("string"))
+
+
+def _card(value: Column, key: str) -> Column:
+    def add(state: Column, c: Column) -> Column:
+        before = F.substring(value, state["at"], c["p"] - state["at"])
+        card = _one_card(F.substring(value, c["p"], c["l"]), key)
+        return F.struct(F.concat(state["out"], before, card).alias("out"), (c["p"] + c["l"]).alias("at"))
+
+    begin = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+    rest = lambda state: F.concat(state["out"], F.substring(value, state["at"], F.length(value)))
+    return F.aggregate(_cards(value), begin, add, rest)
 
 
 def _account(value: Column, key: str) -> Column:
@@ -136,22 +182,34 @@ def _ip(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    """Day of the calendar within its 400 years; not a date, not changed."""
+    """Day of the calendar within its 400 years; not a date, not changed. The month comes first only in what is no date otherwise."""
     iso = value.rlike(r"^\d{4}-")
-    normal = F.when(iso, value).otherwise(
-        F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2))
-    )
-    day = F.try_to_timestamp(normal, F.lit("yyyy-MM-dd")).cast("date")
-    first = F.to_date(F.lit("1800-01-01"))
-    number = F.datediff(day, first)  # years 1800 to 2199
-    units = F.array(
-        _unit(F.floor(number / _PARTS[1]), _PARTS[0], 0, 1, F.lit("")), _unit(number % _PARTS[1], _PARTS[1], 0, 0, F.lit(""))
+    part = lambda at: F.substring(value, at, 2)
+    as_day = lambda text: F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+    written = lambda month, day: as_day(F.concat_ws("-", F.substring(value, 7, 4), part(month), part(day)))
+    day = F.when(iso, as_day(value)).otherwise(written(4, 1))
+    turned = F.when(~iso & day.isNull(), written(1, 4))
+    first = F.to_date(F.lit("1800-01-01"))  # years 1800 to 2199
+
+    def moved(day: Column) -> Column:
+        number = F.datediff(day, first)
+        units = F.array(
+            _unit(F.floor(number / _PARTS[1]), _PARTS[0], 0, 1, F.lit("")), _unit(number % _PARTS[1], _PARTS[1], 0, 0, F.lit(""))
+        )
+        out = permuted(units, "date", key)
+        return F.date_add(first, (F.get(out, 0)["v"] * _PARTS[1] + F.get(out, 1)["v"]).cast("int"))
+
+    # on until the month comes first here, too: different dates stay different (two days in five take another step)
+    again = F.aggregate(F.sequence(F.lit(1), F.lit(64)), moved(turned), lambda d, _: F.when(F.dayofmonth(d) > 12, d).otherwise(moved(d)))
+    dotted = F.substring(value, 3, 1) == "."
+    shown = lambda d, form: F.when(dotted, F.date_format(d, form)).otherwise(F.date_format(d, form.replace(".", "/")))
+    known = lambda d: d.isNotNull() & F.datediff(d, first).between(0, _ERA - 1)
+    return (
+        F.when(iso & known(day), F.date_format(moved(day), "yyyy-MM-dd"))
+        .when(known(day), shown(moved(day), "dd.MM.yyyy"))
+        .when(known(turned), shown(again, "MM.dd.yyyy"))
+        .otherwise(value)
     )
-    moved = permuted(units, "date", key)
-    other = F.date_add(first, (F.get(moved, 0)["v"] * _PARTS[1] + F.get(moved, 1)["v"]).cast("int"))
-    same = lambda separator: F.date_format(other, f"dd{separator}MM{separator}yyyy")
-    shown = F.when(iso, F.date_format(other, "yyyy-MM-dd")).when(F.substring(value, 3, 1) == ".", same(".")).otherwise(same("/"))
-    return F.when(day.isNotNull() & number.between(0, _ERA - 1), shown).otherwise(value)
 
 
 def _email(value: Column, key: str) -> Column:
@@ -163,7 +221,8 @@ def _secret(value: Column, key: str) -> Column:
     name = F.regexp_extract(value, f"^(?:AKIA|{_NAMED})", 0)
     body = F.substring(value, F.length(name) + 1, F.length(value))
     free = lambda c, rest: F.lit(True)
-    moved = F.when(body.rlike("^[0-9a-f]+$"), _shown(permuted(_places(body, free, hexadecimal=True), "hex", key)))
+    base_16 = lambda a: _shown(permuted(_places(body, free, hexadecimal=a), "hex", key))
+    moved = F.when(body.rlike("^[0-9a-f]+$"), base_16("a")).when((name != "AKIA") & body.rlike("^[0-9A-F]+$"), base_16("A"))
     return F.concat(name, moved.otherwise(_shown(permuted(_places(body, free), "secret", key))))
 
 
@@ -197,7 +256,8 @@ def _rewritten(docs: DataFrame, key: str) -> DataFrame:
     )
     rows = rows.withColumn("other", F.transform("found", lambda v: pseudonym(v, key)))
     joined = F.array_join(F.flatten(F.zip_with("between", "other", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    changed = F.size(F.filter(F.zip_with("found", "other", lambda a, b: a != b), lambda x: x))
+    count = lambda a, b: F.when(a == b, 0).when(a.rlike(f"^(?:{PATTERNS['card']})$"), F.size(_cards(a))).otherwise(1)
+    changed = F.aggregate(F.zip_with("found", "other", count), F.lit(0), lambda n, x: n + x)
     some = F.coalesce(F.size("found") > 0, F.lit(False))
     return rows.select(
         "__row", F.when(some, joined).otherwise(F.col("text")).alias("__text"),
