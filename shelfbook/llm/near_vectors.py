@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfbook.llm.graph import components
 from shelfbook.session import durable
@@ -33,29 +34,27 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def within(x: np.ndarray, threshold: float) -> np.ndarray:
-    """Which rows of ``x`` have a cosine of at least ``threshold`` with which others, in double precision.
+def within(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of ``x`` have a cosine of at least ``threshold`` with which rows of ``y``, in double precision.
 
     Products in single precision settle all pairs but those closer to the threshold than their rounding error can be.
     """
-    n, d = x.shape
-    rough = (d + 2) * 2.0**-23
-    single = x.astype(np.float32)
-    near = np.empty((n, n), bool)
-    for low in range(0, n, 512):
-        sims = single[low : low + 512] @ single.T
+    rough = (x.shape[1] + 2) * 2.0**-23
+    single = y.astype(np.float32)
+    near = np.empty((len(x), len(y)), bool)
+    for low in range(0, len(x), 512):
+        sims = x[low : low + 512].astype(np.float32) @ single.T
         near[low : low + 512] = sims >= threshold
         a, b = np.nonzero(np.abs(sims - threshold) <= rough)
-        near[low + a, b] = _cosines(x, low + a, b) >= threshold
-    np.fill_diagonal(near, False)
+        near[low + a, b] = _cosines(x, y, low + a, b) >= threshold
     return near
 
 
-def _cosines(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _cosines(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.empty(len(a))
     for low in range(0, len(a), 1 << 15):
         part = slice(low, low + (1 << 15))
-        out[part] = np.einsum("nd,nd->n", x[a[part]], x[b[part]])
+        out[part] = np.einsum("nd,nd->n", x[a[part]], y[b[part]])
     return out
 
 
@@ -77,35 +76,58 @@ def roots(near: np.ndarray) -> np.ndarray:
     return root
 
 
-def _lists(flat: np.ndarray, owner: np.ndarray, n: int, weights: np.ndarray) -> pa.Array:
-    offsets = np.searchsorted(owner, np.arange(n + 1))
-    values = pa.StructArray.from_arrays([pa.array(flat, pa.int64()), pa.array(weights, pa.int64())], ["id", "weight"])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+def _meet(shards: np.ndarray) -> np.ndarray:
+    """Which rows have a shard in common with which; -1 is none."""
+    kinds, kind = np.unique(np.sort(shards, axis=1), axis=0, return_inverse=True)
+    common = np.zeros((len(kinds), len(kinds)), bool)
+    for p in kinds.T:
+        for q in kinds.T:
+            common |= p[:, None] == np.where(q < 0, -2, q)
+    return common[np.ix_(kind.ravel(), kind.ravel())]
 
 
 def _links(threshold: float):
     def run(cell: pa.Table) -> pa.Table:
         ids = cell["id"].to_numpy()
         order = np.argsort(ids)
-        ids, weight = ids[order], cell["weight"].to_numpy()[order]
-        near = within(_matrix(cell["vector"])[order], threshold)
-        a, b = np.nonzero(near)
-        return pa.table({"id": ids, "near": _lists(ids[b], a, len(ids), weight[b]), "root": ids[roots(near)]})
+        ids, x = ids[order], _matrix(cell["vector"])[order]
+        weight, repeats, own = (cell[c].to_numpy()[order] for c in ("weight", "repeats", "own"))
+        shard, i, j = (cell[c][0].as_py() for c in ("shard", "i", "j"))
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        near = np.zeros((len(ids), len(ids)), bool)
+        near[np.ix_(left, right)] = within(x[left], x[right], threshold)
+        near |= near.T
+        np.fill_diagonal(near, False)
+        root = ids[roots(near)]
+        # a pair belongs to the first of the shards that both are in, and there to the cell of their two blocks
+        some = np.flatnonzero(near.any(axis=1))
+        near = near[np.ix_(some, some)]
+        if len(some):
+            shards = np.asarray(cell["shards"].combine_chunks().flatten()).reshape(len(ids), -1)[order][some]
+            near &= ~_meet(np.where(shards < shard, shards, -1))
+        n = np.zeros(len(ids), np.int64)
+        for low in range(0, len(some), 512):
+            n[some[low : low + 512]] = near[low : low + 512] @ weight[some]
+        # partners are named only where a vec_id with several vectors is one of the two
+        a, b = np.nonzero(near & (repeats[some][:, None] | repeats[some]))
+        offsets = np.searchsorted(some[a], np.arange(len(ids) + 1))
+        named = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[some[b]], pa.int64()))
+        return pa.table({"id": ids, "n": n, "named": named, "root": root})
 
     return run
 
 
-def _nearest(centres: np.ndarray, overlap: int):
+def _nearest(centres, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, 1024):
                 batch = whole.slice(low, 1024)
-                sims = _matrix(batch.column(1)) @ centres.value.T
+                sims = _matrix(batch.column("vector")) @ centres.value.T
                 take = min(overlap, sims.shape[1])
-                best = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-                rows = pa.array(np.repeat(np.arange(batch.num_rows), take))
-                shard = pa.array(best.ravel().astype(np.int32))
-                yield pa.RecordBatch.from_arrays([c.take(rows) for c in batch.columns] + [shard], [*batch.schema.names, "shard"])
+                best = np.argpartition(-sims, take - 1, axis=1)[:, :take].astype(np.int32)
+                ends = pa.array(np.arange(0, best.size + 1, take), pa.int32())
+                shards = pa.ListArray.from_arrays(ends, pa.array(best.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, shards], [*batch.schema.names, "shards"])
 
     return run
 
@@ -121,22 +143,27 @@ def _centres(sample: np.ndarray, most: int) -> np.ndarray:
 
 
 def _graph(classes: DataFrame, n: int, threshold: float, cell: int) -> DataFrame:
-    """(id, near, root) for each class and each shard that it is in; ``classes`` are of one dimension."""
+    """(id, n, named, root) for each class and each cell that it is in; ``classes`` are of one dimension."""
     spark = classes.sparkSession
     most = max(1, min(CENTRES, n // PER_CENTRE))
-    rows = classes.orderBy(F.xxhash64("id"), "id").limit(2 * most).select("vector").toArrow()
+    rows = classes.orderBy(F.xxhash64("first"), "id").limit(2 * most).select("vector").toArrow()
     centres = spark.sparkContext.broadcast(_centres(_matrix(rows["vector"]), most))
-    shards = durable(classes.mapInArrow(_nearest(centres, OVERLAP), "id long, vector array<double>, weight long, shard int"))
+    kind = classes.schema["vector"].dataType.simpleString()
+    placed = durable(
+        classes.select("id", "vector", "weight", "repeats").mapInArrow(
+            _nearest(centres, OVERLAP), f"id long, vector {kind}, weight long, repeats boolean, shards array<int>"
+        )
+    )
     blocks = F.ceil(F.col("n") / (cell // 2)).cast("int")
-    sizes = shards.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))  # at most CENTRES rows
+    sizes = placed.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))  # at most CENTRES rows
     sizes = sizes.select("shard", F.when(F.col("n") > cell, blocks).otherwise(F.lit(1)).alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = shards.join(F.broadcast(sizes), "shard").withColumn("own", own)
+    placed = placed.withColumn("shard", F.explode("shards")).join(F.broadcast(sizes), "shard").withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = placed.select("*", other.alias("other")).select(
-        "id", "vector", "weight", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        "id", "vector", "weight", "repeats", "shards", "shard", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    return cells.groupBy("shard", "i", "j").applyInArrow(_links(threshold), "id long, near array<struct<id:long,weight:long>>, root long")
+    return cells.groupBy("shard", "i", "j").applyInArrow(_links(threshold), "id long, n long, named array<long>, root long")
 
 
 def near_vector_classes(vectors: DataFrame, threshold: float = 0.9, cell: int = CELL) -> DataFrame:
@@ -147,12 +174,19 @@ def near_vector_classes(vectors: DataFrame, threshold: float = 0.9, cell: int =
     without vec_id link with nothing, have no component_id, and are kept. Rows that repeat a vec_id and its
     vector count once; a vec_id with several vectors has the links of all. An empty table gives no rows.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
+    single = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType(), vectors.schema["embedding"].dataType.containsNull)
+    kind = "float" if single else "double"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>").alias("vector"))
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.coalesce(finite & F.exists("vector", lambda v: v != 0), F.lit(False)) & F.col("vec_id").isNotNull()
-    rows = durable(rows.select("vec_id", F.when(usable, F.transform("vector", lambda v: v + 0.0)).alias("vector")))
+    rows = durable(rows.select("vec_id", F.when(usable, F.transform("vector", lambda v: (v + 0.0).cast(kind))).alias("vector")))
     members = rows.filter("vector is not null").distinct()
-    classes = durable(members.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")).select("id", "vector", "weight"))
+    # a vec_id with several vectors is no part of a weight: it counts once for each partner, by name
+    several = members.groupBy("vec_id").count().filter("count > 1").select("vec_id", F.lit(True).alias("several"))
+    members = members.join(several, "vec_id", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+    weight, repeats = F.count(F.when(~F.col("several"), 1)), F.max("several")
+    classes = members.groupBy("vector").agg(F.min("vec_id").alias("first"), weight.alias("weight"), repeats.alias("repeats"))
+    classes = durable(classes.withColumn("id", F.monotonically_increasing_id()))
     found: DataFrame | None = None
     sizes = classes.groupBy(F.size("vector").alias("d")).count().collect()  # one row per dimension
     for d, n in sizes:
@@ -162,14 +196,25 @@ def near_vector_classes(vectors: DataFrame, threshold: float = 0.9, cell: int =
         linked = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
         return linked.withColumn("kept", F.lit(True))
     found = durable(found)
-    labels = components(found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    near = F.array_distinct(F.flatten(F.collect_list("near")))
-    total = F.aggregate("near", F.lit(0).cast("long"), lambda n, x: n + x["weight"])
-    links = found.groupBy("id").agg(near.alias("near")).select("id", total.alias("others"))
-    known = classes.join(links, "id").join(labels, "id", "left").select(
-        "vector", F.coalesce("component", "id").alias("component"), (F.col("others") + F.col("weight") - 1).alias("n")
-    )
-    by_id = members.join(known, "vector").groupBy("vec_id").agg(F.max("n").alias("n"), F.min("component").alias("component"))
+    members = durable(members.join(classes.select("vector", "id"), "vector").select("vec_id", "several", "id"))
+    repeated = members.filter("several").select("vec_id", "id")
+    bound = repeated.groupBy("vec_id").agg(F.min("id").alias("a"), F.collect_list("id").alias("b")).select("a", F.explode("b").alias("b"))
+    links = found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).union(bound.filter("a <> b"))
+    labels = classes.select("id", "first").join(components(links), "id", "left").withColumn("label", F.coalesce("component", "id"))
+    labels = labels.select("id", "label").join(labels.groupBy("label").agg(F.min("first").alias("component")), "label").select("id", "component")
+    counts = found.groupBy("id").agg(F.sum("n").alias("n"))
+    # pairs of classes with a repeated vec_id in one of them, each class with itself, too
+    pairs = found.select("id", F.explode("named").alias("to")).union(classes.filter("repeats").select("id", F.col("id").alias("to")))
+    by_name = pairs.join(repeated.select("vec_id", F.col("id").alias("to")), "to")
+    extra = by_name.groupBy("id").agg(F.countDistinct("vec_id").alias("extra"))
+    once = members.filter("not several").join(classes.select("id", "weight"), "id").join(counts, "id").join(extra, "id", "left")
+    once = once.select("vec_id", "id", (F.col("n") + F.col("weight") - 1 + F.coalesce("extra", F.lit(0))).alias("n"))
+    reached = repeated.join(pairs, "id").select("vec_id", "to").distinct()
+    plain = reached.join(classes.select(F.col("id").alias("to"), "weight"), "to").groupBy("vec_id").agg(F.sum("weight").alias("plain"))
+    others = reached.join(repeated.select(F.col("vec_id").alias("other"), F.col("id").alias("to")), "to").groupBy("vec_id").agg(F.countDistinct("other").alias("others"))
+    any_class = repeated.groupBy("vec_id").agg(F.min("id").alias("id"))
+    many = any_class.join(plain, "vec_id").join(others, "vec_id").select("vec_id", "id", (F.col("plain") + F.col("others") - 1).alias("n"))
+    by_id = once.union(many).join(labels, "id").select("vec_id", "n", "component")
     return (
         rows.select("vec_id").join(by_id, "vec_id", "left")
         .select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))

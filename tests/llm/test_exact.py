@@ -310,6 +310,39 @@ def test_nested_groups_of_vectors(spark, cell):
     assert audit(docs, result, every=3) == 1
 
 
+@pytest.mark.parametrize("cell", [4096, 64])
+def test_vectors_that_share_a_vec_id(spark, cell):
+    """The links of all vectors of a vec_id, each partner once, and one component of them all."""
+    pick = np.random.default_rng(4)
+    x = np.concatenate([pick.normal(size=(1, 16)) + 0.25 * pick.normal(size=(60, 16)) for _ in range(4)] + [pick.normal(size=(40, 16))])
+    ids = [*range(len(x)), *range(0, len(x), 7), 3, 5, 9]
+    x = np.concatenate([x, x[::7][::-1], x[[3]], x[[130]], x[[4]]])
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    partners, groups = defaultdict(set), brute.Groups(ids)
+    for a, b in zip(*np.nonzero(y @ y.T >= 0.9)):
+        if ids[a] != ids[b]:
+            partners[ids[a]].add(ids[b])
+            groups.join(ids[a], ids[b])
+    got = near_vector_classes(docs, cell=cell).collect()
+    assert sorted(r.vec_id for r in got) == sorted(ids)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, len(partners[i]), groups.find(i)) for i in ids}
+
+
+def test_the_lists_of_partners_are_not_shuffled():
+    """A cell gives one number for each class, and a pair only in the first shard that both are in."""
+    import pyarrow as pa
+
+    from shelfbook.llm.near_vectors import _links
+
+    def cell(shard):
+        v = np.eye(4)[0] + 0.01 * np.arange(3)[:, None]
+        own = {"weight": [1, 2, 4], "repeats": [False] * 3, "own": [0] * 3, "shard": [shard] * 3, "i": [0] * 3, "j": [0] * 3}
+        return _links(0.9)(pa.table({"id": [7, 8, 9], "vector": v.tolist(), "shards": [[2, 5], [2, 5], [5, 6]], **own})).to_pydict()
+
+    assert cell(5)["n"] == [4, 4, 3] and cell(5)["named"] == [[], [], []] and cell(5)["root"] == [7, 7, 7]
+
+
 def test_languages_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     true = {r.doc_id: r.lang for r in docs.collect()}
