@@ -1,13 +1,14 @@
 """Near-duplicate vectors by exact comparison within overlapping shards.
 
 Equal vectors become one class. Diverse centres from a bounded sample cut the classes into overlapping shards: every
-class joins its nearest few centres. In each shard every pair is compared, and the cosine in double precision decides.
+class joins its nearest few centres, more of them the more there are. In each shard every pair is compared, and the cosine in double precision decides.
 A shard above the size limit is cut into blocks, and each two blocks make a cell that is treated as a shard, so that
 no pair of a large group is left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,8 @@ from shelfbook.session import durable
 
 CENTRES = 16_384  # at most; they are what the tasks get, with 8 bytes a number
 PER_CENTRE = 384  # classes for which a centre is taken, as long as the limit allows
-OVERLAP = 4  # nearest centres whose shards a class joins
+OVERLAP = 4  # nearest centres whose shards a class joins, at least
+PER_DOUBLING = 0.75  # of them for each doubling of the centres
 CELL = 4096  # most classes in a shard or cell
 APART = 0.7  # centres are less similar than this
 
@@ -117,13 +119,13 @@ def _links(threshold: float):
     return run
 
 
-def _nearest(centres, overlap: int):
+def _nearest(centres, joined: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, 1024):
                 batch = whole.slice(low, 1024)
                 sims = _matrix(batch.column("vector")) @ centres.value.T
-                take = min(overlap, sims.shape[1])
+                take = min(joined, sims.shape[1])
                 best = np.argpartition(-sims, take - 1, axis=1)[:, :take].astype(np.int32)
                 ends = pa.array(np.arange(0, best.size + 1, take), pa.int32())
                 shards = pa.ListArray.from_arrays(ends, pa.array(best.ravel()))
@@ -132,6 +134,11 @@ def _nearest(centres, overlap: int):
     return run
 
 
+def overlap(centres: int) -> int:
+    """Nearest centres whose shards a class joins: more of them where there are more centres to choose another one from."""
+    return max(OVERLAP, math.ceil(PER_DOUBLING * math.log2(centres)))
+
+
 def _centres(sample: np.ndarray, most: int) -> np.ndarray:
     kept = np.zeros((0, sample.shape[1]))
     for row in sample:
@@ -147,11 +154,12 @@ def _graph(classes: DataFrame, n: int, threshold: float, cell: int) -> DataFrame
     spark = classes.sparkSession
     most = max(1, min(CENTRES, n // PER_CENTRE))
     rows = classes.orderBy(F.xxhash64("first"), "id").limit(2 * most).select("vector").toArrow()
-    centres = spark.sparkContext.broadcast(_centres(_matrix(rows["vector"]), most))
+    chosen = _centres(_matrix(rows["vector"]), most)
+    centres = spark.sparkContext.broadcast(chosen)
     kind = classes.schema["vector"].dataType.simpleString()
     placed = durable(
         classes.select("id", "vector", "weight", "repeats").mapInArrow(
-            _nearest(centres, OVERLAP), f"id long, vector {kind}, weight long, repeats boolean, shards array<int>"
+            _nearest(centres, overlap(len(chosen))), f"id long, vector {kind}, weight long, repeats boolean, shards array<int>"
         )
     )
     blocks = F.ceil(F.col("n") / (cell // 2)).cast("int")

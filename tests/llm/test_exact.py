@@ -329,6 +329,19 @@ def test_vectors_that_share_a_vec_id(spark, cell):
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, len(partners[i]), groups.find(i)) for i in ids}
 
 
+@pytest.mark.parametrize("centres", [26, 260, 2600])
+def test_pairs_at_the_threshold_meet_in_a_shard(centres):
+    """Unstructured vectors with a cosine of 0.9, whatever the number of centres."""
+    from shelfbook.llm.near_vectors import overlap
+
+    pick = np.random.default_rng(1)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    c, y, u = (unit(pick.normal(size=(n, 64))) for n in (centres, 2000, 2000))
+    x = 0.9 * y + np.sqrt(1 - 0.81) * unit(u - (u * y).sum(axis=1, keepdims=True) * y)
+    a, b = (np.argsort(-(v @ c.T), axis=1)[:, : overlap(centres)] for v in (x, y))
+    assert (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean() > 0.99
+
+
 def test_the_lists_of_partners_are_not_shuffled():
     """A cell gives one number for each class, and a pair only in the first shard that both are in."""
     import pyarrow as pa
