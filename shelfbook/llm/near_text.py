@@ -159,6 +159,16 @@ def near_text_classes(
     found = _labels(texts, classes, k, percent, trees, branch, small, levels, exhaustive)
     known = classes.join(found, "id", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "id").alias("component"))
     named = sketches.filter("doc_id is not null").join(known, ["n_shingles", "h1", "h2"], "left")
+    named = durable(named.select("doc_id", "n_shingles", "component"))
+    # the texts of one doc_id hold their components together
+    ends = named.groupBy("doc_id").agg(F.collect_set("component").alias("to")).filter(F.size("to") > 1)
+    bound = durable(ends.select(F.array_min("to").alias("a"), F.explode("to").alias("b")).filter("a <> b").distinct())
+    if not bound.isEmpty():
+        merged = components(bound).select(F.col("id").alias("component"), F.col("component").alias("merged"))
+        named = named.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component"))
+    # a text without words is linked with nothing, but its document may be by another text
+    by_doc = named.groupBy("doc_id").agg(F.min("component").alias("of_doc"))
+    named = named.join(by_doc, "doc_id").withColumn("component", F.coalesce("component", "of_doc"))
     return (
         named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .unionByName(sketches.filter("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))

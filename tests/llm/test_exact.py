@@ -66,6 +66,17 @@ def test_large_nodes_branch_before_they_are_compared(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.near_texts(rows, 3, 85)
 
 
+def test_texts_that_share_a_doc_id(spark):
+    """Doc 5 has a text of doc 3 and one of doc 8, and so holds these together; doc 20 has an empty text and one of doc 10."""
+    a, b, c, d = ([f"{x}{i}" for i in range(40)] for x in "abcd")
+    own = [(3, a), (5, a), (5, b), (8, b), (8, c), (9, c), (10, d), (20, d), (20, [])]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in own], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_text_classes(docs, 5, 80).collect())
+    want = [(i, 10 if i >= 10 else 3, i in (3, 10)) for i, _ in own]
+    assert got == sorted(want)
+    assert sorted(r.doc_id for r in without_near_copies(docs).collect()) == [3, 10]
+
+
 def test_near_texts_of_the_table(spark, texts):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in q.op2_near_text(spark, FOLDER).collect()}
     assert got == brute.near_texts(list(texts.items()), 3, 85)
