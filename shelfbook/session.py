@@ -31,7 +31,7 @@ def tune(spark: SparkSession) -> SparkSession:
 _own_folder: str | None = None
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names; only a local session without one gets its own."""
     global _own_folder
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -51,6 +51,6 @@ def durable(df: DataFrame) -> DataFrame:
     For results that several later steps read, and for values that depend on how a shuffle happened to
     split its rows: a lost executor must not make Spark evaluate those a second time.
     """
-    path = f"{_shared_folder(df.sparkSession)}/staging-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/staging-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
