@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from shelfbook.llm import sql
 from shelfbook.llm.language import languages_held_out
+from shelfbook.llm.lines import line_digests
 from shelfbook.llm.mixing import mix_report
 from shelfbook.llm.near_text import near_text_classes
 from shelfbook.llm.near_vectors import near_vector_classes
 from shelfbook.llm.packing import packed, token_matrices
+from shelfbook.llm.prefix_trie import trie_nodes
 from shelfbook.llm.pseudonyms import pseudonym_report
 from shelfbook.llm.quality import quality_report
+from shelfbook.llm.search import ranked_documents
 from shelfbook.llm.substrings import passage_digests
 from shelfbook.llm.toxicity import toxicity_held_out
 
@@ -66,6 +69,18 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(_table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_digests(_table(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_nodes(_table(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -73,10 +88,13 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_near_text, op3_packing, op4_token_matrices, op5_mixing, op6_passages, op7_pseudonyms, op8_language,
-        op9_near_vectors, op10_quality, pipeline,
+        op9_near_vectors, op10_quality, op11_ranked_search, op12_lines, op13_prefix_trie, pipeline,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": sql.MIXING, "op6_passages": sql.PASSAGES, "op10_quality": sql.QUALITY}
+    return {
+        "op5_mixing": sql.MIXING, "op6_passages": sql.PASSAGES, "op10_quality": sql.QUALITY, "op11_ranked_search": sql.SEARCH,
+        "op12_lines": sql.LINES, "op13_prefix_trie": sql.PREFIXES,
+    }

@@ -97,3 +97,72 @@ quartiles as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and fits as kept
 from rated join verdict using (doc_id)
 """
+
+SEARCH = r"""
+with docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as own
+  from documents
+), sized as (select doc_id, own, len(own)::bigint as n from docs where len(own) > 0),
+totals as (select count(*)::bigint as documents, sum(n)::bigint as length from sized),
+placed as (select doc_id, 100 - 75 + ((75 * n * documents) // length) as m, own from sized, totals),
+counted as (select doc_id, m, term, count(*)::bigint as tf from (select doc_id, m, unnest(own) as term from placed) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(documents) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from counted, totals group by term
+), items as (
+  select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) as term
+  from benchmark
+), scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from items join counted using (term) join weights using (term) group by item_id, doc_id
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored where score > 0
+qualify rank <= 10
+"""
+
+LINES = r"""
+with lines as (
+  select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)
+), keyed as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from lines
+), judged as (
+  select doc_id, line, i, length(k) >= 10 and min(doc_id) over (partition by k) < doc_id as gone from keyed
+)
+select doc_id, count(*)::bigint as n_lines, (count(*) filter (gone))::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+PREFIXES = r"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first) as pos,
+         struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) as own
+  from conversations where conv_id is not null
+), convs as (
+  select conv_id, list(own order by pos) as own,
+         -- crc32, reflected: eight steps for each byte of the number in decimal
+         xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda v, step: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end))) % 4 as h
+  from turns group by conv_id
+), rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.own, [])[1 : c.h], c.own[c.h + 1 :]) as turns
+  from convs c left join convs b on b.conv_id = c.conv_id - c.conv_id % 20
+), paths as (select conv_id, len(turns) as n, unnest(range(0, len(turns) + 1)) as depth, turns from rebuilt),
+nodes as (
+  select depth, turns[1 : depth] as path, min(conv_id) as conv_id, count(*)::bigint as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth), '')) as ends_sha256,
+         count(distinct turns[1 : depth + 1]) filter (n > depth) as n_children,
+         case when depth = 0 then 0 else len(list_filter(regexp_split_to_array(any_value(turns)[depth].text, '[ \t-\r]+'), lambda w: w <> '')) end as words
+  from paths group by depth, path
+), below as (
+  select t.depth, t.path, sum(case when b.n_children = 0 then 1 else 0 end)::bigint as n_leaves, sum((b.n_convs - 1) * b.words)::bigint as saved_tokens
+  from nodes t join (select *, unnest(range(0, depth + 1)) as d from nodes) b on b.d = t.depth and b.path[1 : b.d] = t.path
+  group by t.depth, t.path
+)
+select n.conv_id::bigint as conv_id, n.depth::bigint as depth, p.conv_id::bigint as parent_conv_id, n.n_convs, n.n_children::bigint as n_children,
+       b.n_leaves, b.saved_tokens, n.ends_sha256
+from nodes n join below b on n.depth = b.depth and n.path = b.path left join nodes p on p.depth = n.depth - 1 and p.path = n.path[1 : n.depth - 1]
+"""
