@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfbook.session import durable
 
 TURNS = 3  # most copies of a document
-SLICES = 4096  # parts of a source's shuffled order that are summed on their own
+LISTED = 100_000  # most sources whose cuts are broadcast, below 200 bytes each
 
 
 def words(text: Column) -> Column:
@@ -54,56 +54,62 @@ def targets(sizes: DataFrame, weights: Sequence[int]) -> DataFrame:
     return capped.select("__source", "source_size", F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(first or 0.0)).alias("target"))
 
 
-def copies_of(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix") -> DataFrame:
-    """(__row: all columns, size, source_size, target, copies): how often the mix takes each row, 0 to 3 times.
+def _named(docs: DataFrame, seed: str) -> list[Column]:
+    """Source, and the place in its shuffled order: hash of doc_id (of the text, where there is none), doc_id, hash of the text."""
+    text = F.xxhash64(F.col("text").cast("string"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", F.lit("none"), text))
+    place = F.struct(F.md5(F.concat_ws(":", F.lit(seed), name)).alias("key"), F.col("doc_id").cast("long").alias("id"), text.alias("text_hash"))
+    # null last, and no null among the keys
+    source = F.struct(F.col("source").isNull().alias("missing"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name"))
+    return [source.alias("__source"), place.alias("__place")]
 
-    Size is the number of words; null text has size 0 and is taken as its place in the order falls. A null source is a source of its
-    own, after all others. Rows without doc_id or that repeat one are ordered by hash, doc_id and size; equal rows
-    are taken alike. Reruns agree, because the order depends on nothing but these columns.
+
+def _numbered(docs: DataFrame, weights: Sequence[int], seed: str) -> DataFrame:
+    """(__source, __place, size, source_size, target, cuts): of each row, without its texts.
+
+    ``cuts`` holds, for each turn, the last place of the source that the turn takes. Finish times rise with the place, so
+    a turn takes all places up to one.
     """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
-    rows = docs.select(
-        F.struct("*").alias("__row"),
-        F.col("doc_id").cast("long").alias("id"),
-        # null last, and no null among the keys
-        F.struct(F.col("source").isNull().alias("missing"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name")).alias("__source"),
-        F.size(words(F.col("text").cast("string"))).cast("long").alias("size"),
-        key.alias("key"),
-        F.floor(F.conv(F.substring(key, 1, 4), 16, 10).cast("int") * SLICES / 65536).cast("int").alias("slice"),
-    )
-    slices = durable(rows.groupBy("__source", "slice").agg(F.sum("size").alias("s")))
-    aims = targets(slices.groupBy("__source").agg(F.sum("s").alias("source_size")), weights)
-    earlier = Window.partitionBy("__source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # SLICES rows at most
-    offsets = slices.select("__source", "slice", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("offset")).join(aims, "__source")
-    own = Window.partitionBy("__source", "slice").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = (
-        rows.withColumn("upto", F.sum("size").over(own))
-        .join(durable(offsets), ["__source", "slice"])
-        .withColumn("upto", F.col("upto") + F.col("offset"))
-    )
+    rows = durable(docs.select(*_named(docs, seed), F.size(words(F.col("text").cast("string"))).cast("long").alias("size")))
+    sizes = rows.groupBy("__source").agg(F.sum("size").alias("source_size"))
+    summed = durable(running(rows, [F.col("__source"), F.col("__place")], {"before": F.col("size")}))
+    starts = summed.groupBy("__source").agg(F.min("before").alias("start"))
+    aims = durable(targets(sizes, weights).join(starts, "__source"))
+    numbered = summed.join(aims, "__source").withColumn("upto", F.col("before") - F.col("start") + F.col("size"))
     finish = lambda turn: F.coalesce((F.col("upto") + F.col("source_size") * turn) / F.nullif("target", F.lit(0.0)), F.lit(0.0))
-    place = lambda turn: F.struct(finish(turn).alias("finish"), "key", "id", "size", turn.cast("int").alias("turn"))
-    turns = numbered.select("key", "id", "size", "upto", "source_size", "target", F.explode(F.sequence(F.lit(0), F.lit(TURNS - 1))).alias("t"))
-    queue = turns.select(place(F.col("t")).alias("place"))
-    queue = running(queue.select("place", F.col("place.size").alias("size")), [F.col("place")], {"spent": F.col("size")})
-    budget = slices.agg(F.sum("s")).first()[0] or 0
-    end = queue.filter(F.col("spent") + F.col("size") > budget).agg(F.min("place").alias("end")).first()["end"]
-    if end is None:
-        copies = F.lit(TURNS)
-    else:
-        kinds = (("finish", "double"), ("key", "string"), ("id", "long"), ("size", "long"), ("turn", "int"))
-        limit = F.struct(*[F.lit(end[n]).cast(t).alias(n) for n, t in kinds])
-        copies = sum((F.when(place(F.lit(t)) < limit, 1).otherwise(0) for t in range(TURNS)), F.lit(0))
-    return numbered.select("__row", "id", "size", "source_size", "target", copies.alias("copies"))
-
-
-def mix_report(docs: DataFrame, weights: Sequence[int] = (5, 2, 1)) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) per row; taken counts the words of all copies. No rows for no rows."""
-    taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
-    return copies_of(docs.select("doc_id", "source", "text"), weights).select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken)
-
-
-def mixed(docs: DataFrame, weights: Sequence[int] = (5, 2, 1)) -> DataFrame:
-    """The mix itself: each row of ``docs`` as many times as it is taken."""
-    rows = copies_of(docs, weights).filter("copies > 0")
+    order = lambda turn: F.struct(finish(turn).alias("finish"), F.col("__place").alias("place"), turn.cast("int").alias("turn"))
+    turns = numbered.select("__place", "size", "upto", "source_size", "target", F.explode(F.sequence(F.lit(0), F.lit(TURNS - 1))).alias("t"))
+    queue = running(turns.select(order(F.col("t")).alias("order"), "size"), [F.col("order")], {"spent": F.col("size")})
+    budget = rows.agg(F.sum("size")).first()[0] or 0
+    end = queue.filter(F.col("spent") + F.col("size") > budget).agg(F.min("order").alias("end"))  # one row, null if all are taken
+    taken = lambda t: F.col("end").isNull() | (order(F.lit(t)) < F.col("end"))
+    cuts = numbered.join(F.broadcast(end)).groupBy("__source").agg(
+        F.array(*[F.max(F.when(taken(t), F.col("__place"))) for t in range(TURNS)]).alias("cuts")
+    )
+    return summed.join(aims.join(cuts, "__source"), "__source").select("__source", "__place", "size", "source_size", "target", "cuts")
+
+
+def _copies() -> Column:
+    return sum((F.when(F.col("__place") <= F.col("cuts")[t], 1).otherwise(0) for t in range(TURNS)), F.lit(0))
+
+
+def mix_report(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix") -> DataFrame:
+    """(doc_id, size, source_size, target, taken) per row; taken counts the words of all copies, 0 to 3 times the size.
+
+    Size is the number of words; null text has size 0 and is taken as its place in the order falls. A null source is a source of its
+    own, after all others. Rows without doc_id are ordered by a hash of their text, rows that repeat one by that hash, too; rows equal
+    in both are taken alike. Reruns agree, because the order depends on nothing but doc_id and text. No rows for no rows.
+    """
+    numbered = _numbered(docs.select("doc_id", "source", "text"), weights, seed)
+    taken = (F.col("size") * _copies()).cast("long").alias("taken")
+    return numbered.select(F.col("__place.id").alias("doc_id"), "size", "source_size", "target", taken)
+
+
+def mixed(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix") -> DataFrame:
+    """The mix itself: each row of ``docs`` as many times as it is taken. Texts stay where they are read."""
+    numbered = _numbered(docs.select("doc_id", "source", "text"), weights, seed)
+    cuts = durable(numbered.select("__source", "cuts").distinct())
+    if cuts.count() <= LISTED:
+        cuts = F.broadcast(cuts)
+    rows = docs.select(F.struct("*").alias("__row"), *_named(docs, seed)).join(cuts, "__source").withColumn("copies", _copies()).filter("copies > 0")
     return rows.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")
