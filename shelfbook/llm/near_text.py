@@ -7,8 +7,8 @@ Documents that are known to be linked carry a common label, brought up to date b
 is finished. A document outside its node's most frequent label is open. On the first level, nodes with few open documents
 compare those with all others, and in the rest every document is compared with one pivot. After that, what is still
 open in a node is compared with the whole node inside tasks that return only links that join labels; nodes with more
-pairs than a cell holds are compared with a pivot and branch again, so that the copies made for cells grow with a node and
-not with its square. What is left after the last level is compared in cells of bounded size, however large the node is. So a large group of near copies is linked by
+than ``PAIRS`` such pairs are compared with a pivot and branch again, along one path, so that a document never has more rows
+than it had on the first level, and the copies made for cells grow with a node and not with its square. What is left after the last level is compared in cells of bounded size, however large the node is. So a large group of near copies is linked by
 stars, and its pairs are never rows.
 
 Two documents of the wanted similarity s meet in a node of the first level with a chance of 1 - (1 - s)**(trees * branch):
@@ -32,6 +32,7 @@ from shelfbook.session import durable
 
 PLACES = 48  # of a signature
 CELL = 512  # documents on each side of a cell
+PAIRS = 64 * CELL * CELL  # of open documents with all others: a node of no more is compared in cells and not branched
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, signature array<int>"
 
@@ -139,7 +140,7 @@ def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
 
 
 def near_text_classes(
-    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, branch: int = 2, small: int = 32, levels: int = 8, exhaustive: int = CELL * CELL
+    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 4, branch: int = 2, small: int = 32, levels: int = 8, exhaustive: int = PAIRS
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -250,8 +251,8 @@ def _labels(
         labels = components(durable(confirmed), labels)
         if large.isEmpty():
             break
-        # each node chooses its places by its own name
-        choice = F.explode(F.array(*[F.pmod(F.xxhash64("node", F.lit(i)), F.lit(PLACES)).cast("int") for i in range(branch)]))
+        # each node chooses its place by its own name
+        choice = F.pmod(F.xxhash64("node"), F.lit(PLACES)).cast("int")
         rows = (
             large.select("node", "id", "n")
             .join(labels, "id", "left")
