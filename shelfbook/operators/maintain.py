@@ -41,8 +41,8 @@ def sync_inbound(ledger: DataFrame, detail: DataFrame, run_ts: datetime) -> Data
     return updated.unionByName(ledger.filter(F.col("shpmt") == "na"))
 
 
-def append_inbound(ledger: DataFrame, detail: DataFrame, items: DataFrame, run_ts: datetime) -> DataFrame:
-    """Add inbound rows whose (code, location, shipment) the ledger does not have."""
+def fresh_inbound(ledger: DataFrame, detail: DataFrame, items: DataFrame, run_ts: datetime) -> DataFrame:
+    """Inbound rows whose (code, location, shipment) the ledger does not have, as ledger rows."""
     known = ledger.filter(F.col("shpmt") != "na").select(*DETAIL_KEY)
     fresh = detail.join(known, list(DETAIL_KEY), "left_anti")
     rows = lookup_join(fresh, items.select("item_code", "item"), ["item_code"])
@@ -51,19 +51,27 @@ def append_inbound(ledger: DataFrame, detail: DataFrame, items: DataFrame, run_t
         "flow": F.lit("in"),
         **{c: F.col(c) for c in (*DETAIL_KEY, "ts", "xacn", "qty", "psh_qty")},
     }
-    added = rows.select(
+    return rows.select(
         *[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in ACTIVITY_SCHEMA.items()],
         F.lit(1).cast("bigint").alias("n"),
         moment(run_ts).alias("last_update"),
         "item",
     )
-    return ledger.select(*LEDGER_COLUMNS).unionByName(added)
+
+
+def append_inbound(ledger: DataFrame, detail: DataFrame, items: DataFrame, run_ts: datetime) -> DataFrame:
+    """Add inbound rows whose (code, location, shipment) the ledger does not have."""
+    return ledger.select(*LEDGER_COLUMNS).unionByName(fresh_inbound(ledger, detail, items, run_ts))
+
+
+def fresh_activity(ledger: DataFrame, consolidated: DataFrame, run_ts: datetime) -> DataFrame:
+    """Activity rows that the ledger does not have."""
+    key = [*LEDGER_KEY, "flow"]
+    fresh = consolidated.join(ledger.select(*key), key, "left_anti")
+    return fresh.withColumn("last_update", moment(run_ts)).select(*LEDGER_COLUMNS)
 
 
 def append_activity(ledger: DataFrame, consolidated: DataFrame, run_ts: datetime) -> DataFrame:
     """Add activity rows that the ledger does not have; rows it has are never corrected. So a window may
     overlap the one before."""
-    key = [*LEDGER_KEY, "flow"]
-    fresh = consolidated.join(ledger.select(*key), key, "left_anti")
-    added = fresh.withColumn("last_update", moment(run_ts)).select(*LEDGER_COLUMNS)
-    return ledger.select(*LEDGER_COLUMNS).unionByName(added)
+    return ledger.select(*LEDGER_COLUMNS).unionByName(fresh_activity(ledger, consolidated, run_ts))

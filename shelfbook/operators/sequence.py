@@ -68,7 +68,7 @@ def mark_segments(ledger: DataFrame, shape: Shape | None = None) -> DataFrame:
         Measure("_count", "max", F.when(flow == "set", u)),
         Measure("_next_in", "min", F.when(flow == "in", u), "after"),
         Measure("_next_set", "min", F.when(flow == "set", u), "after"),
-        Measure("_rows", "count", F.lit(1), "all"),
+        Measure("_rows", "max", u, "all"),
     ]
     marked = over_runs(ledger.drop("cr_set", "nx_in"), RUN, measures, shape)
     return marked.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
@@ -13,8 +14,8 @@ from pyspark.sql import types as T
 from shelfbook.config import GENERAL, Window
 from shelfbook.functions.clock import moment
 from shelfbook.operators import activity as act
-from shelfbook.operators import adjust, ages, diagnostics, inbound, items, maintain, sequence, trace, windows
-from shelfbook.session import durable, tune
+from shelfbook.operators import adjust, ages, diagnostics, inbound, items, maintain, merge, sequence, trace, windows
+from shelfbook.session import durable, shared_folder, tune
 from shelfbook.sources.standins import Standins
 
 AS_OF = datetime(2001, 12, 31, 12)
@@ -179,6 +180,41 @@ class Work:
             self.sales_ledger(), self.first_detail, self.item_names(), FIRST_RUN
         )
 
+    def every_source(self) -> DataFrame:
+        """The activity of all sources in the second load. The registers ring up an even quantity in two lines."""
+        s = self.s
+        lines = self.sales(SECOND_LOAD).withColumn("lines", F.expr("CASE WHEN qty % 2 = 0 THEN 2 ELSE 1 END"))
+        halves = {c: F.expr(f"{c} div lines") for c in ("qty", "md_qty")}
+        halves |= {c: F.expr(f"CAST({c} / lines AS {act.MONEY})") for c in ("sld_val", "md_sld_val")}
+        rung = lines.withColumns(halves).withColumn("line", F.explode(F.expr("sequence(1, lines)"))).drop("lines", "line")
+        moved = act.transfers_out(s.transfer_detail, s.items, SECOND_LOAD, self.fresh)
+        return act.online_union(rung, self.online(), moved, self.counted())
+
+    def all_consolidated(self) -> DataFrame:
+        return act.consolidate(self.every_source(), self.item_names())
+
+    @cached_property
+    def merged(self) -> tuple[merge.LedgerStore, merge.Merged, DataFrame, DataFrame]:
+        """The ledger of the first load, stored in buckets, after the second load of all sources; and what was derived before."""
+        rows = durable(self.inbound_ledger())
+        shape = sequence.Shape.of(rows)
+        first = durable(sequence.mark_segments(sequence.sequence_ledger(rows, shape), shape))
+        adjustments = durable(adjust.set_adjustments(first, shape))
+        before = durable(ages.ages(first, adjustments, shape))
+        store = merge.LedgerStore(self.s.spark, f"{shared_folder(self.s.spark)}/ledger-{uuid.uuid4().hex}", buckets=16)
+        store.write(first)
+        detail, activity = durable(self.second_detail()), durable(self.all_consolidated())
+        done = merge.merge_load(store, detail, activity, self.item_names(), SECOND_RUN)
+        return store, done, adjustments, before
+
+    def refreshed_adjustments(self) -> DataFrame:
+        store, done, adjustments, _ = self.merged
+        return merge.refresh_adjustments(store, done, adjustments)
+
+    def refreshed_ages(self) -> DataFrame:
+        store, done, _, before = self.merged
+        return merge.refresh_ages(store, done, durable(self.refreshed_adjustments()), before)
+
     # ledger
 
     def consolidated(self) -> DataFrame:
@@ -317,6 +353,10 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "append_activity": lambda w: maintain.append_activity(
         w.sales_ledger(), act.consolidate(w.sales(SECOND_LOAD), w.item_names()), SECOND_RUN
     ),
+    "consolidate_sources": Work.all_consolidated,
+    "merge_load": lambda w: w.merged[0].read().drop("bucket"),
+    "refresh_adjustments": lambda w: _rounded(w.refreshed_adjustments()),
+    "refresh_ages": Work.refreshed_ages,
     "sequence_ledger": Work.sequenced,
     "mark_segments": lambda w: w.ledger()[0],
     "set_adjustments": lambda w: _rounded(w.adjustments()),
