@@ -1,12 +1,15 @@
 """Quality rules with thresholds that follow the data: quantile sketches per language and source in place of fixed cutoffs.
 
-Every document is measured in its own row. KLL sketches of three rates are built per (language, source) and merged upwards
+Every document is measured in its own row. KLL sketches of five rates (symbols, capitals, word length, repeated lines, words
+that repeat the one before) are built per (language, source) and merged upwards
 to the language and to all, so a group with few documents takes the quantiles of the next wider one. A document is
 rejected if a rate lies outside the fence of its group: the quartiles, moved outwards by a multiple of their distance.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ SKETCH = 4096  # k: exact up to about so many documents, a rank error of 0.1 % b
 LEAST = 100  # documents that a group needs for quantiles of its own
 REACH = 6.0  # quartile distances that a fence lies outside of the quartiles
 #: least quartile distance of each rate, for groups in which all documents are alike
-SPREADS = {"symbol_rate": 0.05, "capital_rate": 0.05, "word_length": 0.5}
+SPREADS = {"symbol_rate": 0.05, "capital_rate": 0.05, "word_length": 0.5, "line_rate": 0.1, "echo_rate": 0.05}
 
 
 def _length_without(text: Column, pattern: str) -> Column:
@@ -29,9 +32,13 @@ def rates(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = docs.select(F.struct("*").alias("__row"), text.alias("text"), key("lang").alias("__lang"), key("source").alias("__source"))
-    rows = rows.withColumn("words", words(F.col("text"))).withColumns(
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
+    rows = rows.withColumns({"words": words(F.col("text")), "lines": lines}).withColumns(
         {
             "n_words": F.size("words").cast("long"),
+            "n_lines": F.size("lines").cast("long"),
+            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+            "n_echoes": F.size(F.filter("words", lambda w, i: w == F.get("words", i - 1))).cast("long"),
             "word_chars": _length_without(F.col("text"), r"[ \t-\r]+"),
             "n_symbols": F.length("text") - _length_without(F.col("text"), r"[#*$%&|<>]"),
             "n_capitals": F.length("text") - _length_without(F.col("text"), r"\p{Lu}"),
@@ -43,6 +50,8 @@ def rates(docs: DataFrame) -> DataFrame:
             "symbol_rate": per("n_symbols", "n_words"),
             "capital_rate": per("n_capitals", "word_chars"),
             "word_length": per("word_chars", "n_words"),
+            "line_rate": per("n_dup_lines", "n_lines"),
+            "echo_rate": per("n_echoes", "n_words"),
         }
     )
 
@@ -82,13 +91,11 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     rated = rates(docs)
     edges = fences(rates(docs.select("lang", "source", "text")))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
     starts = F.sequence(F.lit(0), F.col("n_words").cast("int") - WINDOW)
     hashes = F.when(F.col("n_words") >= WINDOW, F.transform(starts, lambda i: F.xxhash64(F.slice("words", i + 1, WINDOW))))
-    measured = rated.withColumns({"lines": lines, "windows": hashes})
+    measured = rated.withColumn("windows", hashes)
     # null where all windows differ, so that nothing below is worked out for these texts
     again = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    measured = measured.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     measured = measured.withColumn("sorted", F.array_sort(again))
     none = F.array(F.lit(None).cast("struct<h:bigint,i:int>"))
     rest = F.size("sorted") - 1
@@ -106,7 +113,7 @@ def judged(docs: DataFrame) -> DataFrame:
     measured = measured.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     within = [F.col(r).between(F.col(f"{r}_low"), F.col(f"{r}_high")) for r in SPREADS]
-    fits = F.coalesce(within[0] & within[1] & within[2], F.lit(True))  # no sketch at all: no document has 20 words
+    fits = F.coalesce(reduce(Column.__and__, within), F.lit(True))  # no sketch at all: no document has 20 words
     return (
         measured.withColumn("base_failed", failed)
         .join(edges, ["__lang", "__source"], "left")

@@ -67,20 +67,23 @@ with docs as (
 ), repeated as (
   select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by doc_id
 ), lines as (
-  select doc_id, count(*) - count(distinct x) as n from (select doc_id, unnest(string_split(t, chr(10))) as x from docs)
+  select doc_id, count(*) - count(distinct x) as n, count(*) as n_all from (select doc_id, unnest(string_split(t, chr(10))) as x from docs)
   where regexp_matches(x, '[^ \t-\r]') group by doc_id
 ), measured as (
   select d.doc_id, d.lang, d.source, len(d.w)::bigint as n_words, length(regexp_replace(t, '[ \t-\r]+', '', 'g'))::bigint as word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
          coalesce(l.n, 0)::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words,
-         (length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g'))) as n_capitals
+         (length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g'))) as n_capitals, l.n_all as n_lines,
+         len(list_filter(d.w, lambda x, i: i > 1 and x = d.w[i - 1])) as n_echoes
   from docs d left join lines l using (doc_id) left join repeated r using (doc_id)
 ), rated as (
   select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
          coalesce(n_symbols / nullif(n_words, 0), 0) as a, coalesce(n_capitals / nullif(word_chars, 0), 0) as b,
-         coalesce(word_chars / nullif(n_words, 0), 0) as c
+         coalesce(word_chars / nullif(n_words, 0), 0) as c, coalesce(n_dup_lines / nullif(n_lines, 0), 0) as d,
+         coalesce(n_echoes / nullif(n_words, 0), 0) as e
   from measured
-), long as (select doc_id, lang, source, n_words, unnest(['a', 'b', 'c']) as rate, unnest([a, b, c]) as x, unnest([0.05, 0.05, 0.5]) as spread from rated),
+), long as (select doc_id, lang, source, n_words, unnest(['a', 'b', 'c', 'd', 'e']) as rate, unnest([a, b, c, d, e]) as x,
+  unnest([0.05, 0.05, 0.5, 0.1, 0.05]) as spread from rated),
 quartiles as (
   select lang, source, rate, any_value(spread) as spread, grouping(lang, source) as wide, count(*) as n,
          quantile_disc(x, 0.25) as q1, quantile_disc(x, 0.75) as q3
