@@ -23,34 +23,43 @@ from shelfbook.session import durable
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 32  # cost of a sequence besides its length
 SHARD = 1 << 21  # words or tokens
+PIECES = 1 << 18  # of a shard, as many of its pieces may be empty
 
 
 def best_fit(sizes: Sequence[int], lengths: Sequence[int], overhead: float = OVERHEAD) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of each size, and the length of each bin; no size is above the greatest length.
 
     Largest first; an item goes to the open bin that it leaves least room in. If none has room, the length is opened
-    that costs least for each unit it will hold, in view of what is still to be placed. Last, each bin
+    that costs least for each unit it will hold: every length that takes the item is filled on trial with the largest of the
+    sizes still to be placed that fit, and costs what it shrinks to, and the overhead, by what it then holds. Last, each bin
     shrinks to the shortest length that takes its contents.
     """
     lengths = sorted(lengths)
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    left = sum(sizes)
+    falling = [-sizes[i] for i in order]
+
+    def cost(place: int, length: int) -> tuple[float, int]:
+        held, at = -falling[place], place + 1
+        while (at := bisect.bisect_left(falling, held - length, at)) < len(falling) and falling[at]:
+            held -= falling[at]
+            at += 1
+        return (lengths[bisect.bisect_left(lengths, held)] + overhead) / max(1, held), length
+
     bins, offsets = [0] * len(sizes), [0] * len(sizes)
     used: list[int] = []
     open_: list[tuple[int, int]] = []  # (room, bin), sorted
-    for i in order:
+    for place, i in enumerate(order):
         size = sizes[i]
         at = bisect.bisect_left(open_, (size, -1))
         if at < len(open_):
             room, bin_ = open_.pop(at)
         else:
             fits = lengths[bisect.bisect_left(lengths, size) :]
-            room = min(fits, key=lambda length: ((length + overhead) / max(1, min(length, left)), length))
+            room = min(cost(place, length) for length in fits)[1]
             bin_ = len(used)
             used.append(0)
         bins[i], offsets[i] = bin_, used[bin_]
         used[bin_] += size
-        left -= size
         if room > size:
             bisect.insort(open_, (room - size, bin_))
     return bins, offsets, [lengths[bisect.bisect_left(lengths, u)] for u in used]
@@ -84,7 +93,8 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: float =
     n = F.size(words(F.col("text").cast("string"))).cast("long")
     # the place of a row decides its shard, so that neither null nor repeated ids meet in one
     rows = durable(docs.select(F.col("doc_id").cast("long"), n.alias("words"), F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("deal")))
-    shards = max(1, math.ceil((rows.agg(F.sum("words")).first()[0] or 0) / shard))
+    total, n_rows = rows.agg(F.sum("words"), F.count(F.lit(1))).first()
+    shards = max(1, math.ceil((total or 0) / shard), math.ceil(n_rows / PIECES))
     last = F.greatest(F.lit(0), F.ceil(F.col("words") / longest) - 1).cast("int")
     pieces = rows.select("doc_id", "words", "deal", F.explode(F.sequence(F.lit(0), last)).alias("piece")).select(
         F.pmod(F.xxhash64("deal", "piece"), F.lit(shards)).alias("shard"), "doc_id", "piece",
