@@ -8,7 +8,8 @@ is finished. A document outside its node's most frequent label is open. On the f
 compare those with all others, and in the rest every document is compared with one pivot. After that, what is still
 open in a node is compared with the whole node inside tasks that return only links that join labels; nodes with more
 than ``PAIRS`` such pairs are compared with a pivot and branch again, along one path, so that a document never has more rows
-than it had on the first level, and the copies made for cells grow with a node and not with its square. What is left after the last level is compared in cells of bounded size, however large the node is. So a large group of near copies is linked by
+than it had on the first level, and the copies made for cells grow with a node and not with its square. What is left after the last level is compared in cells of bounded size, however large the node is. A cell compares signatures
+first; only documents with a partner by those are sent to it again with their texts. So a large group of near copies is linked by
 stars, and its pairs are never rows.
 
 Two documents of the wanted similarity s meet in a node of the first level with a chance of 1 - (1 - s)**(trees * branch):
@@ -34,6 +35,7 @@ PLACES = 48  # of a signature
 CELL = 512  # documents on each side of a cell
 PAIRS = 64 * CELL * CELL  # of open documents with all others: a node of no more is compared in cells and not branched
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SUSPECT = "node long, id long, label long, side int, i int, j int"
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, signature array<int>"
 
 
@@ -86,6 +88,27 @@ def _confirm(k: int, percent: int):
     return run
 
 
+def _suspects(agreeing: int, percent: int):
+    """Of a cell: its documents whose signature agrees often enough with that of one of another label on the other side."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        sizes, labels, side = (cell[c].to_numpy() for c in ("n", "label", "side"))
+        places = cell["signature"].combine_chunks().flatten().to_numpy().reshape(-1, PLACES).T
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        alike = np.zeros((len(x), len(y)), np.uint8)
+        for place in places:
+            alike += place[x][:, None] == place[y]
+        n, m = sizes[x][:, None], sizes[y]
+        near = (alike >= agreeing) & (labels[x][:, None] != labels[y]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+        found = np.zeros(cell.num_rows, bool)
+        found[x[near.any(axis=1)]] = True
+        found[y[near.any(axis=0)]] = True
+        return cell.drop_columns(["n", "signature"]).filter(pa.array(found))
+
+    return run
+
+
 def _join_labels(k: int, percent: int):
     """Of a cell: links between its open documents (side 0) and the others, one for each two labels that they join."""
 
@@ -241,12 +264,14 @@ def _labels(
             own = lambda n: F.pmod(F.xxhash64("id"), blocks_of(n)).cast("int")
             each = lambda n: F.explode(F.sequence(F.lit(0), blocks_of(n) - 1))
             done = grown.filter(ends_here)
-            cells = (
-                done.filter(is_open)
-                .select("node", "id", "label", F.lit(0).alias("side"), own("n_open").alias("i"), each("size").alias("j"))
-                .union(done.select("node", "id", "label", F.lit(1).alias("side"), each("n_open").alias("i"), own("size").alias("j")))
-                .join(candidates.toDF("id", "text"), "id")
+            held = ("node", "id", "n", "label", "signature")
+            done = done.join(signatures, "id")
+            cells = done.filter(is_open).select(*held, F.lit(0).alias("side"), own("n_open").alias("i"), each("size").alias("j")).union(
+                done.select(*held, F.lit(1).alias("side"), each("n_open").alias("i"), own("size").alias("j"))
             )
+            # texts go only to cells where the document may have a partner
+            suspects = cells.groupBy("node", "i", "j").applyInArrow(_suspects(agreeing, percent), SUSPECT)
+            cells = durable(suspects).join(candidates.toDF("id", "text"), "id")
             confirmed = confirmed.union(cells.groupBy("node", "i", "j").applyInArrow(_join_labels(k, percent), "a long, b long"))
         labels = components(durable(confirmed), labels)
         if large.isEmpty():
