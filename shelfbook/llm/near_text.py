@@ -253,25 +253,29 @@ def _labels(
         if first:  # no later level asks for the text of any other document
             wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(large.select("id")).distinct()
             candidates = durable(texts.join(wanted, "doc_id", "left_semi"))
-        confirmed = (
-            pairs.join(candidates.toDF("a", "ta"), "a")
-            .join(candidates.toDF("b", "tb"), "b")
-            .select("a", "b", "ta", "tb")
-            .mapInArrow(_confirm(k, percent), "a long, b long")
-        )
+        asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
         if not first:
             blocks_of = lambda n: F.ceil(F.col(n) / CELL).cast("int")
             own = lambda n: F.pmod(F.xxhash64("id"), blocks_of(n)).cast("int")
             each = lambda n: F.explode(F.sequence(F.lit(0), blocks_of(n) - 1))
-            done = grown.filter(ends_here)
             held = ("node", "id", "n", "label", "signature")
-            done = done.join(signatures, "id")
+            done = grown.filter(ends_here).join(signatures, "id")
             cells = done.filter(is_open).select(*held, F.lit(0).alias("side"), own("n_open").alias("i"), each("size").alias("j")).union(
                 done.select(*held, F.lit(1).alias("side"), each("n_open").alias("i"), own("size").alias("j"))
             )
             # texts go only to cells where the document may have a partner
-            suspects = cells.groupBy("node", "i", "j").applyInArrow(_suspects(agreeing, percent), SUSPECT)
-            cells = durable(suspects).join(candidates.toDF("id", "text"), "id")
+            suspects = durable(cells.groupBy("node", "i", "j").applyInArrow(_suspects(agreeing, percent), SUSPECT))
+            asked = asked.union(suspects.select("id"))
+        # a level moves the texts that it asks for, and no others, to its pairs and cells
+        read = candidates.join(durable(asked.distinct()), "doc_id", "left_semi")
+        confirmed = (
+            pairs.join(read.toDF("a", "ta"), "a")
+            .join(read.toDF("b", "tb"), "b")
+            .select("a", "b", "ta", "tb")
+            .mapInArrow(_confirm(k, percent), "a long, b long")
+        )
+        if not first:
+            cells = suspects.join(read.toDF("id", "text"), "id")
             confirmed = confirmed.union(cells.groupBy("node", "i", "j").applyInArrow(_join_labels(k, percent), "a long, b long"))
         labels = components(durable(confirmed), labels)
         if large.isEmpty():
