@@ -15,12 +15,15 @@ from shelfbook.config import GENERAL, Window
 from shelfbook.functions.clock import moment
 from shelfbook.operators import activity as act
 from shelfbook.operators import adjust, ages, diagnostics, inbound, items, maintain, merge, sequence, trace, windows
+from shelfbook.plans import pipeline
 from shelfbook.session import durable, shared_folder, tune
+from shelfbook.sources import tables
 from shelfbook.sources.standins import Standins
 
 AS_OF = datetime(2001, 12, 31, 12)
 FIRST_LOAD, FIRST_RUN = Window(datetime(2005, 1, 1), datetime(2009, 1, 1)), datetime(2009, 1, 1, 6)
 SECOND_LOAD, SECOND_RUN = Window(datetime(2008, 6, 1), datetime(2011, 1, 1)), datetime(2011, 1, 1, 6)
+POLICY_RUN = datetime(2010, 3, 3, 9)  # a Wednesday
 ONLINE = Window(datetime(2024, 1, 2), datetime(2024, 1, 25))
 
 
@@ -215,6 +218,13 @@ class Work:
         store, done, _, before = self.merged
         return merge.refresh_ages(store, done, durable(self.refreshed_adjustments()), before)
 
+    def rebuilt(self) -> dict[str, DataFrame]:
+        """Adjustments and ages of the stored ledger, as a reader finds them after a rebuild."""
+        ledger, shape = self.stored
+        folder = f"{shared_folder(self.s.spark)}/figures-{uuid.uuid4().hex}"
+        pipeline.rebuild_figures(ledger, GENERAL, folder, "1", shape)
+        return tables.read_version(self.s.spark, folder)
+
     # ledger
 
     def consolidated(self) -> DataFrame:
@@ -271,6 +281,18 @@ def _in_window(w: Work) -> DataFrame:
     )
 
 
+def _by_policy(policy: str) -> Callable[[Work], DataFrame]:
+    """The sales that a load with one of the fixed window policies takes."""
+
+    def run(w: Work) -> DataFrame:
+        rows = windows.in_window(w.s.sales_item, "business_date", windows.load_window(policy, POLICY_RUN), w.fresh)
+        return rows.groupBy("item_code", "business_date").agg(
+            F.count(F.lit(1)).alias("num_rows"), F.sum("quantity").alias("quantity")
+        )
+
+    return run
+
+
 def _ages(w: Work) -> DataFrame:
     ledger, adjustments, shape = w.adjusted()
     return ages.ages(ledger, adjustments, shape)
@@ -325,6 +347,8 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "load_window": _load_window,
     "new_items": Work.fresh_items,
     "in_window": _in_window,
+    "in_window_two_days": _by_policy("two_days"),
+    "in_window_last_week": _by_policy("last_week"),
     "order_categories": Work.order_types,
     "warehouse_push": lambda w: w.push(SECOND_LOAD),
     "shipment_detail": lambda w: w.ships(SECOND_LOAD),
@@ -360,6 +384,8 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "sequence_ledger": Work.sequenced,
     "mark_segments": lambda w: w.ledger()[0],
     "set_adjustments": lambda w: _rounded(w.adjustments()),
+    "rebuild_adjustments": lambda w: _rounded(w.rebuilt()["adjustments"]),
+    "rebuild_ages": lambda w: w.rebuilt()["ages"],
     "inbound_lots": lambda w: ages.inbound_lots(*w.stored),
     "expand_lots": _traced(trace.expand_lots),
     "fifo_remaining": _remaining,

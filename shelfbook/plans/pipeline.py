@@ -16,7 +16,7 @@ from shelfbook.config import FIRST_OUTLET, LedgerConfig, Window
 from shelfbook.operators import activity as act
 from shelfbook.operators import adjust, ages, inbound, items, maintain, sequence, windows
 from shelfbook.session import durable
-from shelfbook.sources.tables import Sources
+from shelfbook.sources.tables import Sources, publish_version
 
 
 def item_catalogue(
@@ -154,3 +154,11 @@ def derived_figures(
     if not config.item_in_key:
         adjustments, result = adjust.set_adjustments(ledger, shape, item_in_key=False), result.drop("item")
     return adjustments, result
+
+
+def rebuild_figures(
+    ledger: DataFrame, config: LedgerConfig, folder: str, version: str, shape: sequence.Shape | None = None
+) -> dict[str, DataFrame]:
+    """``adjustments`` and ``ages`` of the whole ledger, published together as one version and read back."""
+    adjustments, result = derived_figures(ledger, config, shape)
+    return publish_version({"adjustments": adjustments, "ages": result}, folder, version)

@@ -1,12 +1,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfbook.config import GENERAL, NEW_GOODS, VENDOR_GROUP, Window
 from shelfbook.operators import inbound, maintain
 from shelfbook.plans import pipeline
 from shelfbook.sources.standins import Standins
-from shelfbook.sources.tables import publish
+from shelfbook.sources.tables import publish, publish_version, read_version
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -99,3 +100,32 @@ def test_catalogue_of_each_population(spark):
         pipeline.item_catalogue(tables, VENDOR_GROUP, run)
     again = pipeline.item_catalogue(tables, GENERAL, datetime(2002, 1, 1), current=general)
     assert rows(again, again.columns) == rows(general, general.columns)
+
+
+def test_a_version_is_seen_whole_or_not_at_all(spark, tmp_path):
+    folder = str(tmp_path)
+    table = lambda n: spark.range(n).withColumn("qty", F.col("id") * 2)
+    with pytest.raises(LookupError):
+        read_version(spark, folder)
+    publish_version({"adjustments": table(3), "ages": table(4)}, folder, "1")
+
+    broken = table(9).withColumn("qty", F.when(F.col("id") == 8, F.raise_error(F.lit("lost"))).otherwise(F.col("qty")))
+    with pytest.raises(Exception, match="lost"):
+        publish_version({"adjustments": table(5), "ages": broken}, folder, "2")
+    assert (tmp_path / "adjustments" / "version=2").exists()
+    assert {name: df.count() for name, df in read_version(spark, folder).items()} == {"adjustments": 3, "ages": 4}
+    with pytest.raises(LookupError):
+        read_version(spark, folder, "2")
+
+    publish_version({"adjustments": table(5), "ages": table(9)}, folder, "2")
+    assert {name: df.count() for name, df in read_version(spark, folder).items()} == {"adjustments": 5, "ages": 9}
+    assert read_version(spark, folder, "1")["ages"].count() == 4
+    with pytest.raises(ValueError):
+        publish_version({"ages": table(1)}, folder, "1")
+
+
+def test_a_manifest_that_was_not_finished_names_nothing(spark, tmp_path):
+    (tmp_path / "manifest" / "version=1" / "_temporary").mkdir(parents=True)
+    (tmp_path / "manifest" / "version=1" / "_temporary" / "part-0.parquet").write_bytes(b"PAR1")
+    with pytest.raises(LookupError):
+        read_version(spark, str(tmp_path))
