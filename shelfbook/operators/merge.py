@@ -29,7 +29,7 @@ from shelfbook.session import durable
 EARLIEST = datetime(1, 1, 1)  # stands for an unknown moment, which comes first
 
 
-def _at(ts: Column) -> Column:
+def at(ts: Column) -> Column:
     return F.coalesce(ts, F.lit(EARLIEST).cast("timestamp_ntz"))
 
 
@@ -76,7 +76,7 @@ def corrected_rows(ledger: DataFrame, detail: DataFrame) -> DataFrame:
     differs = F.lit(False)
     for f in fields:
         differs = differs | F.coalesce(F.col(f) != F.col(f"new_{f}"), F.lit(False))
-    return met.filter(differs).select(*RUN, F.least(_at(F.col("ts")), _at(F.col("new_ts"))).alias("first"))
+    return met.filter(differs).select(*RUN, F.least(at(F.col("ts")), at(F.col("new_ts"))).alias("first"))
 
 
 def resequence(rows: DataFrame, touched: DataFrame, limit: int = RUN_LIMIT) -> tuple[DataFrame, DataFrame]:
@@ -85,14 +85,14 @@ def resequence(rows: DataFrame, touched: DataFrame, limit: int = RUN_LIMIT) -> t
     Rows from ``first`` on may be new, changed or moved. All others keep u, inv_q, cr_set and nx_in of the stored ledger.
     """
     met = lookup_join(rows, touched.select(*RUN, "first"), RUN, "left")
-    before = F.col("first").isNotNull() & (_at(F.col("ts")) < F.col("first"))
+    before = F.col("first").isNotNull() & (at(F.col("ts")) < F.col("first"))
     before_row = F.struct("u", (F.col("inv_q") - F.coalesce("qty", F.lit(0))).alias("book"), F.col("cr_set").alias("count"))
     anchors = met.filter(before & (F.col("flow") == "in")).groupBy(*RUN).agg(F.max(before_row).alias("anchor"))
     state = touched.select(*RUN, "first").join(anchors, list(RUN), "left")
     state = durable(state.select(*RUN, "first", F.coalesce("anchor.u", F.lit(1)).cast("bigint").alias("from_u"), F.col("anchor.book").alias("book"), F.col("anchor.count").alias("count")))
 
     met = lookup_join(rows, state, RUN, "left")
-    again = F.col("first").isNotNull() & ((_at(F.col("ts")) >= F.col("first")) | (F.col("u") >= F.col("from_u")))
+    again = F.col("first").isNotNull() & ((at(F.col("ts")) >= F.col("first")) | (F.col("u") >= F.col("from_u")))
     carried = ("first", "from_u", "book", "count")
     kept = met.filter(~again).drop(*carried)
     part = durable(met.filter(again).drop("u", "inv_q", "cr_set", "nx_in"))
@@ -119,7 +119,7 @@ def merge_load(
     added = durable(
         maintain.fresh_inbound(ledger, detail, items, run_ts).unionByName(maintain.fresh_activity(ledger, consolidated, run_ts))
     )
-    changes = corrected_rows(ledger, detail).unionByName(added.select(*RUN, _at(F.col("ts")).alias("first")))
+    changes = corrected_rows(ledger, detail).unionByName(added.select(*RUN, at(F.col("ts")).alias("first")))
     touched = durable(changes.groupBy(*RUN).agg(F.min("first").alias("first")).withColumn("bucket", store.bucket()))
     buckets = sorted(row[0] for row in touched.select("bucket").distinct().collect())  # at most store.buckets
     if not buckets:

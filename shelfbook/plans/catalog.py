@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from shelfbook.config import GENERAL, Window
 from shelfbook.functions.clock import moment
 from shelfbook.operators import activity as act
-from shelfbook.operators import adjust, ages, diagnostics, inbound, items, maintain, merge, sequence, trace, windows
+from shelfbook.operators import adjust, ages, diagnostics, inbound, items, maintain, merge, sequence, summaries, trace, windows
 from shelfbook.plans import pipeline
 from shelfbook.session import durable, shared_folder, tune
 from shelfbook.sources import tables
@@ -197,26 +197,48 @@ class Work:
         return act.consolidate(self.every_source(), self.item_names())
 
     @cached_property
-    def merged(self) -> tuple[merge.LedgerStore, merge.Merged, DataFrame, DataFrame]:
-        """The ledger of the first load, stored in buckets, after the second load of all sources; and what was derived before."""
+    def before_load(self) -> tuple[DataFrame, sequence.Shape]:
+        """The ledger of the first load."""
         rows = durable(self.inbound_ledger())
         shape = sequence.Shape.of(rows)
-        first = durable(sequence.mark_segments(sequence.sequence_ledger(rows, shape), shape))
-        adjustments = durable(adjust.set_adjustments(first, shape))
-        before = durable(ages.ages(first, adjustments, shape))
+        return durable(sequence.mark_segments(sequence.sequence_ledger(rows, shape), shape)), shape
+
+    @cached_property
+    def old_adjustments(self) -> DataFrame:
+        return durable(adjust.set_adjustments(*self.before_load))
+
+    @cached_property
+    def merged(self) -> tuple[merge.LedgerStore, merge.Merged]:
+        """The ledger of the first load, stored in buckets, after the second load of all sources."""
         store = merge.LedgerStore(self.s.spark, f"{shared_folder(self.s.spark)}/ledger-{uuid.uuid4().hex}", buckets=16)
-        store.write(first)
+        store.write(self.before_load[0])
         detail, activity = durable(self.second_detail()), durable(self.all_consolidated())
-        done = merge.merge_load(store, detail, activity, self.item_names(), SECOND_RUN)
-        return store, done, adjustments, before
+        return store, merge.merge_load(store, detail, activity, self.item_names(), SECOND_RUN)
 
     def refreshed_adjustments(self) -> DataFrame:
-        store, done, adjustments, _ = self.merged
-        return merge.refresh_adjustments(store, done, adjustments)
+        return merge.refresh_adjustments(*self.merged, self.old_adjustments)
 
     def refreshed_ages(self) -> DataFrame:
-        store, done, _, before = self.merged
-        return merge.refresh_ages(store, done, durable(self.refreshed_adjustments()), before)
+        ledger, shape = self.before_load
+        before = durable(ages.ages(ledger, self.old_adjustments, shape))
+        return merge.refresh_ages(*self.merged, durable(self.refreshed_adjustments()), before)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Cells of the first load, brought up to date by the second."""
+        return durable(summaries.refresh_cells(*self.merged, durable(summaries.cells(self.before_load[0]))))
+
+    def summary_by_store(self) -> dict[str, DataFrame]:
+        return {"first": self.summary.filter("loc <= '00002'"), "second": self.summary.filter("loc > '00002'")}
+
+    @cached_property
+    def with_returned_lots(self) -> tuple[DataFrame, DataFrame, sequence.Shape]:
+        """The ledger with returns as lots that take units away again, and its adjustments."""
+        turned = F.when(F.col("xacn") == "Rtrn", -F.col("qty")).otherwise(F.col("qty"))
+        rows = durable(self.consolidated().withColumn("qty", turned))
+        shape = sequence.Shape.of(rows)
+        ledger = durable(sequence.mark_segments(sequence.sequence_ledger(rows, shape), shape))
+        return ledger, adjust.set_adjustments(ledger, shape), shape
 
     def rebuilt(self) -> dict[str, DataFrame]:
         """Adjustments and ages of the stored ledger, as a reader finds them after a rebuild."""
@@ -313,6 +335,22 @@ def _remaining(w: Work) -> DataFrame:
     return trace.fifo_remaining(lots, shape).select("loc", "item", "u", "d_in_u", "in_qty", *kept)
 
 
+def _shown_lots(ledger: DataFrame, adjustments: DataFrame, shape: sequence.Shape) -> DataFrame:
+    """The lots on hand before or after every sale, transfer or disposal."""
+    lots = trace.lots_on_hand(ledger, durable(adjustments), durable(ledger.filter("flow = 'out'").select("loc", "item", "u")), shape)
+    kept = [c for p, _ in ages.VARIANTS for c in (f"{p}septa", f"ru_{p}septa", f"a_{p}septa")]
+    return lots.select("loc", "item", "u", "lot_u", "d_in_u", "in_qty", "in_age", *kept)
+
+
+def _on_hand(w: Work) -> DataFrame:
+    return _shown_lots(*w.adjusted())
+
+
+def _ages_negative_lots(w: Work) -> DataFrame:
+    ledger, adjustments, shape = w.with_returned_lots
+    return ages.ages(ledger, durable(adjustments), shape)
+
+
 def age_report(ledger: DataFrame, adjustments: DataFrame, shape: sequence.Shape) -> DataFrame:
     """Per location: units sold with a known age and their mean age, and the median stock age seen."""
     result = ages.ages(ledger, adjustments, shape)
@@ -377,6 +415,7 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "append_activity": lambda w: maintain.append_activity(
         w.sales_ledger(), act.consolidate(w.sales(SECOND_LOAD), w.item_names()), SECOND_RUN
     ),
+    "append_all_activity": lambda w: maintain.append_activity(w.sales_ledger(), durable(w.all_consolidated()), SECOND_RUN),
     "consolidate_sources": Work.all_consolidated,
     "merge_load": lambda w: w.merged[0].read().drop("bucket"),
     "refresh_adjustments": lambda w: _rounded(w.refreshed_adjustments()),
@@ -389,7 +428,10 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "inbound_lots": lambda w: ages.inbound_lots(*w.stored),
     "expand_lots": _traced(trace.expand_lots),
     "fifo_remaining": _remaining,
+    "lots_on_hand": _on_hand,
     "ages": _ages,
+    "ages_negative_lots": _ages_negative_lots,
+    "lots_on_hand_negative_lots": lambda w: _shown_lots(*w.with_returned_lots),
     "trace_ages": _traced(trace.trace_ages),
     "trace_book": _traced(trace.trace_book),
     "age_report": _age_report,
@@ -397,6 +439,11 @@ BUILDERS: dict[str, Callable[[Work], DataFrame]] = {
     "rows_per_activity_day": lambda w: diagnostics.rows_per_day(w.by_store(), "ts"),
     "item_footprint": lambda w: diagnostics.item_footprint(w.by_store()),
     "rank_footprint": lambda w: diagnostics.rank_footprint(durable(diagnostics.item_footprint(w.by_store())), AS_OF),
+    "summary_update_day": lambda w: summaries.rows_per_day(w.summary_by_store(), "update_day"),
+    "summary_activity_day": lambda w: summaries.rows_per_day(w.summary_by_store(), "day"),
+    "summary_footprint": lambda w: summaries.item_footprint(w.summary_by_store()),
+    "summary_ranks": lambda w: diagnostics.rank_footprint(durable(summaries.item_footprint(w.summary_by_store())), SECOND_RUN),
+    "summary_load_lag": lambda w: summaries.load_lag(w.summary),
     "load_lag": lambda w: diagnostics.load_lag(w.dated()),
 }
 
