@@ -1,9 +1,12 @@
-"""Near-duplicate vectors by exact comparison within overlapping shards.
+"""Near-duplicate vectors by a robust-pruned flat graph.
 
 Equal vectors become one class. Diverse centres from a bounded sample cut the classes into overlapping shards: every
-class joins its nearest few centres, more of them the more there are. In each shard every pair is compared, and the cosine in double precision decides.
+class joins its nearest few centres, more of them the more there are. Each shard builds a robust-pruned graph over the leaders
+of its close vectors (``range_graph``), and the adjacency lists of all shards are united. In each shard a range-expanding greedy
+search then runs over the united lists, from the shard's medoids and from each leader's own node. The members of what it reaches
+are confirmed by their cosine in double precision, so no link below the threshold is counted.
 A shard above the size limit is cut into blocks, and each two blocks make a cell that is treated as a shard, so that
-no pair of a large group is left out.
+no pair of a large group is left out. ``audit`` measures the recall against brute force.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfbook.llm.graph import components
+from shelfbook.llm.range_graph import adjacency, leaders, pruned, radii, reached
 from shelfbook.session import durable
 
 CENTRES = 16_384  # at most; they are what the tasks get, with 8 bytes a number
@@ -88,16 +92,64 @@ def _meet(shards: np.ndarray) -> np.ndarray:
     return common[np.ix_(kind.ravel(), kind.ravel())]
 
 
+def _lists(x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (from, to) between the leaders among the rows of ``x``."""
+    lead = leaders(x)
+    own = np.unique(lead)
+    near = pruned(x[own], radii(x, lead)[own], threshold)
+    a, slot = np.nonzero(near >= 0)
+    return own[a], own[near[a, slot]]
+
+
+def _build(threshold: float):
+    def run(cell: pa.Table) -> pa.Table:
+        ids = cell["id"].to_numpy()
+        order = np.argsort(ids)
+        ids = ids[order]
+        a, b = _lists(_matrix(cell["vector"])[order], threshold)
+        offsets = np.searchsorted(a, np.arange(len(ids) + 1))
+        return pa.table({"id": ids, "next": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[b], pa.int64()))})
+
+    return run
+
+
+def _edges(cell: pa.Table, order: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The united lists as edges (from, to) between those rows of the cell that they name."""
+    lists = cell["next"].combine_chunks().take(pa.array(order))
+    to = np.asarray(lists.flatten(), np.int64)
+    owner = np.repeat(np.arange(len(ids)), np.diff(np.asarray(lists.offsets, np.int64)))
+    at = np.minimum(np.searchsorted(ids, to), len(ids) - 1)
+    here = ids[at] == to
+    return owner[here], at[here]
+
+
+def _searched(x: np.ndarray, edges: tuple[np.ndarray, np.ndarray], threshold: float) -> np.ndarray:
+    """Which rows are linked, of the pairs that the searches over ``edges`` reach."""
+    lead = leaders(x)
+    own, group = np.unique(lead, return_inverse=True)
+    heads, radius = x[own], radii(x, lead)[own]
+    found = reached(heads, radius, adjacency(heads, group[edges[0]], group[edges[1]]), threshold)
+    near = np.zeros((len(x), len(x)), bool)
+    members = np.argsort(group, kind="stable")
+    ends = np.searchsorted(group[members], np.arange(len(own) + 1))
+    some = (found.sum(axis=1) > 1) | (np.diff(ends) > 1)
+    for k in np.flatnonzero(some):
+        rows, partners = members[ends[k] : ends[k + 1]], np.flatnonzero(found[k][group])
+        near[np.ix_(rows, partners)] = within(x[rows], x[partners], threshold)
+    return near
+
+
 def _links(threshold: float):
+    """Of one cell; one that brings no column ``next`` is searched over its own lists."""
+
     def run(cell: pa.Table) -> pa.Table:
         ids = cell["id"].to_numpy()
         order = np.argsort(ids)
         ids, x = ids[order], _matrix(cell["vector"])[order]
         weight, repeats, own = (cell[c].to_numpy()[order] for c in ("weight", "repeats", "own"))
         shard, i, j = (cell[c][0].as_py() for c in ("shard", "i", "j"))
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        near = np.zeros((len(ids), len(ids)), bool)
-        near[np.ix_(left, right)] = within(x[left], x[right], threshold)
+        near = _searched(x, _edges(cell, order, ids) if "next" in cell.column_names else _lists(x, threshold), threshold)
+        near &= (own == i)[:, None] & (own == j)
         near |= near.T
         np.fill_diagonal(near, False)
         root = ids[roots(near)]
@@ -140,13 +192,14 @@ def overlap(centres: int) -> int:
 
 
 def _centres(sample: np.ndarray, most: int) -> np.ndarray:
-    kept = np.zeros((0, sample.shape[1]))
+    kept, n = np.empty((most, sample.shape[1])), 0
     for row in sample:
-        if len(kept) == most:
+        if n == most:
             break
-        if not len(kept) or (kept @ row).max() < APART:
-            kept = np.concatenate([kept, row[None]])
-    return kept
+        if not n or (kept[:n] @ row).max() < APART:
+            kept[n] = row
+            n += 1
+    return kept[:n]
 
 
 def _graph(classes: DataFrame, n: int, threshold: float, cell: int) -> DataFrame:
@@ -171,7 +224,9 @@ def _graph(classes: DataFrame, n: int, threshold: float, cell: int) -> DataFrame
     cells = placed.select("*", other.alias("other")).select(
         "id", "vector", "weight", "repeats", "shards", "shard", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    return cells.groupBy("shard", "i", "j").applyInArrow(_links(threshold), "id long, n long, named array<long>, root long")
+    built = cells.select("id", "vector", "shard", "i", "j").groupBy("shard", "i", "j").applyInArrow(_build(threshold), "id long, next array<long>")
+    united = durable(built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next")))
+    return cells.join(united, "id").groupBy("shard", "i", "j").applyInArrow(_links(threshold), "id long, n long, named array<long>, root long")
 
 
 def near_vector_classes(vectors: DataFrame, threshold: float = 0.9, cell: int = CELL) -> DataFrame:
