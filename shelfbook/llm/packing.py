@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,7 +196,10 @@ class RoomTree:
 
 
 def best_fit_decreasing(sizes: Sequence[int], capacity: int) -> list[list[int]]:
-    """Items of each bin, in the order they were placed: largest first, each into the bin that it leaves least room in."""
+    """Items of each bin, in the order they were placed: largest first, each into the bin that it leaves least room in.
+
+    A bin takes at most ``capacity`` items, which only empty ones can exceed.
+    """
     tree, bins = RoomTree(capacity), []
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
         found = tree.take(sizes[i])
@@ -204,7 +208,8 @@ def best_fit_decreasing(sizes: Sequence[int], capacity: int) -> list[list[int]]:
             bins.append([])
         room, bin_ = found
         bins[bin_].append(i)
-        tree.put(room - sizes[i], bin_)
+        if len(bins[bin_]) < capacity:
+            tree.put(room - sizes[i], bin_)
     return bins
 
 
@@ -215,15 +220,17 @@ MATRIX = (
 
 def _matrix(capacity: int, pad: int):
     def run(keys: tuple, shard: pa.Table) -> pa.Table:
+        size = pc.binary_length(shard["ids"]).to_numpy()
+        last = shard["doc_id"].fill_null((1 << 63) - 1).to_numpy()
+        shard = shard.take(pa.array(np.lexsort((shard["start"].to_numpy(), last, shard["doc_id"].is_null().to_numpy(), -size))))
         doc_id, start = shard["doc_id"].to_pylist(), shard["start"].to_pylist()
-        ids = [x.as_py() for x in shard["ids"]]
-        order = sorted(range(len(ids)), key=lambda i: (-len(ids[i]), doc_id[i] is None, doc_id[i], start[i]) if doc_id[i] is not None else (-len(ids[i]), True, 0, start[i]))
-        sizes = [len(ids[i]) // 2 for i in order]
+        ids = shard["ids"].to_pylist()
+        sizes = [len(x) // 2 for x in ids]
         base = keys[0].as_py() << 32
         rows: dict[str, list] = {c.split()[0]: [] for c in MATRIX.split(", ")}
         for number, own in enumerate(best_fit_decreasing(sizes, capacity)):
             ends = np.cumsum([0, *(sizes[i] for i in own)])
-            line = b"".join(ids[order[i]] for i in own)
+            line = b"".join(ids[i] for i in own)
             place = np.zeros(capacity, "<u2")
             place[: ends[-1]] = np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))
             rows["bin_id"].append(base + number)
@@ -231,8 +238,8 @@ def _matrix(capacity: int, pad: int):
             rows["input_ids"].append(line + np.full(capacity - ends[-1], pad, "<u2").tobytes())
             rows["position_ids"].append(place.tobytes())
             rows["cu_seqlens"].append(ends.tolist())
-            rows["doc_ids"].append([doc_id[order[i]] for i in own])
-            rows["token_starts"].append([start[order[i]] for i in own])
+            rows["doc_ids"].append([doc_id[i] for i in own])
+            rows["token_starts"].append([start[i] for i in own])
         kinds = {
             "bin_id": pa.int64(), "n_tokens": pa.int32(), "input_ids": pa.binary(), "position_ids": pa.binary(),
             "cu_seqlens": pa.list_(pa.int32()), "doc_ids": pa.list_(pa.int64()), "token_starts": pa.list_(pa.int64()),
@@ -250,22 +257,23 @@ def token_matrices(
     input_ids and position_ids are little-endian 16-bit matrices rows (the vocabulary must have at most 65,536 ids, and the
     capacity must be at most as large), padded to the capacity. Segment i covers [cu_seqlens[i], cu_seqlens[i + 1]) and holds the tokens of doc_ids[i]
     from token_starts[i] on; positions restart with each segment. Documents above the capacity are cut into segments, which
-    put together by token_starts give all their ids again; a null or empty text has one empty segment. The vocabulary file
-    is read once, by the driver, and sent to the tasks.
+    put together by token_starts give all their ids again; a null or empty text has one empty segment, and a sequence
+    has at most ``capacity`` segments. The vocabulary file is read once, by the driver, and sent to the tasks. The segments are
+    staged: the place of a row decides its shard, and a lost executor must not deal the rows out anew.
     """
     if capacity > 1 << 16:
         raise ValueError("capacity above 65,536")
     with open(vocabulary, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     # a token has about three bytes
-    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    shards = max(1, math.ceil(total / 3 / shard))
+    total, n_rows = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))), F.count(F.lit(1))).first()
+    shards = max(1, math.ceil((total or 0) / 3 / shard), math.ceil(n_rows / PIECES))
     rows = docs.select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"),
         F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 40)).alias("deal"),
     )
     pieces = rows.mapInArrow(_token_pieces(shared, pattern, capacity, shards), "shard long, doc_id long, start long, ids binary")
-    return pieces.groupBy("shard").applyInArrow(_matrix(capacity, pad), MATRIX)
+    return durable(pieces).groupBy("shard").applyInArrow(_matrix(capacity, pad), MATRIX)
 
 
 def write_matrices(matrices: DataFrame, path: str) -> None:

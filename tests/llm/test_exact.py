@@ -417,3 +417,34 @@ def test_one_row_of_each_group_stays(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (4, None)]
     left = without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(str(r.doc_id) for r in left) == ["1", "4", "None"]
+
+
+def test_many_empty_texts_have_bounded_sequences(spark):
+    """Empty segments fill a sequence up to its capacity in number, too, and none is lost."""
+    rows = [(i if i % 3 else None, None if i % 2 else "") for i in range(2000)] + [(5000, "a few words"), (5001, "of text")]
+    got = token_matrices(spark.createDataFrame(rows, "doc_id long, text string"), capacity=64).collect()
+    assert sum(len(r.doc_ids) for r in got) == len(rows)
+    assert max(len(r.doc_ids) for r in got) <= 64
+    assert sorted(i for r in got for i in r.doc_ids if i is not None) == sorted(i for i, _ in rows if i is not None)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_range_graph_finds_all_partners(seed):
+    """Chains, tight groups and vectors of their own: every pair in range is reached from one of its two ends."""
+    from shelfbook.llm.near_vectors import _lists, _searched, within
+
+    pick = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    chain = np.cumsum(0.05 * pick.normal(size=(200, 32)), axis=0) + unit(pick.normal(size=(1, 32)))
+    x = unit(np.concatenate([nested_groups(pick, size=40, others=300, d=32), chain, chain[:5] * 3, pick.normal(size=(1, 32))]))
+    got, want = _searched(x, _lists(x, 0.9), 0.9), within(x, x, 0.9)
+    np.fill_diagonal(want, False)
+    np.fill_diagonal(got, False)
+    assert not (got & ~want).any() and (got | got.T).sum() >= 0.99 * want.sum()
+
+
+def test_range_graph_of_one_vector():
+    from shelfbook.llm.near_vectors import _lists, _searched
+
+    x = np.ones((1, 3)) / np.sqrt(3)
+    assert _searched(x, _lists(x, 0.9), 0.9).shape == (1, 1)
