@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from shelfbook.operators import maintain, merge
+from shelfbook.operators import diagnostics, maintain, merge, summaries
 from shelfbook.operators.activity import ACTIVITY_SCHEMA
 from shelfbook.operators.adjust import set_adjustments
 from shelfbook.operators.ages import ages
@@ -63,6 +63,7 @@ def test_two_loads_equal_one_ledger(spark, tmp_path, seed, low, limit):
     store.write(ledger)
     adjustments = set_adjustments(ledger, shape)
     old_ages = ages(ledger, adjustments, shape)
+    old_cells = summaries.cells(ledger).cache()
 
     # corrections of date and quantity in a few shipments, new shipments, and activity that overlaps the first load
     moved = [(*s[:4], s[4] + timedelta(hours=pick.randrange(-40, 40)), pick.choice([s[5], 11]), s[6]) if i % 15 == seed else s for i, s in enumerate(before)]
@@ -78,6 +79,14 @@ def test_two_loads_equal_one_ledger(spark, tmp_path, seed, low, limit):
     got = store.read().drop("bucket")
     assert told(got) == told(want)
 
+    new_cells = summaries.refresh_cells(store, done, old_cells).cache()
+    assert told(new_cells) == told(summaries.cells(want))
+    same = {"a": want}, {"a": new_cells}
+    assert told(summaries.rows_per_day(same[1], "day")) == told(diagnostics.rows_per_day(same[0], "ts"))
+    assert told(summaries.rows_per_day(same[1], "update_day")) == told(diagnostics.rows_per_day(same[0], "last_update"))
+    assert told(summaries.item_footprint(same[1])) == told(diagnostics.item_footprint(same[0]))
+    assert told(summaries.load_lag(new_cells)) == told(diagnostics.load_lag(want))
+
     new_adjustments = merge.refresh_adjustments(store, done, adjustments, limit)
     want_adjustments = set_adjustments(want, want_shape)
     assert told(new_adjustments) == told(want_adjustments)
