@@ -6,10 +6,10 @@ from datetime import datetime
 import pytest
 
 from shelfbook.config import Window
-from shelfbook.operators import diagnostics, windows
+from shelfbook.operators import diagnostics, trace, windows
 from shelfbook.operators.adjust import set_adjustments
 from shelfbook.operators.ages import ages
-from shelfbook.operators.sequence import Shape
+from shelfbook.operators.sequence import Shape, order_runs
 from shelfbook.plans.catalog import AS_OF, Work
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,3 +58,19 @@ def test_shape_finds_long_runs(work):
     assert shape.long_runs is None and not shape.negative_lots
     short = Shape.of(rows, limit=10)
     assert short.long_runs is not None and short.long_runs.groups > 0
+
+
+def test_a_stored_ledger_is_not_shuffled_again(work):
+    ledger, shape = work.stored
+    adjustments = shape.store(set_adjustments(ledger, shape))
+    chosen = shape.store(trace.closing_rows(ledger))
+    for result in (set_adjustments(ledger, shape), ages(ledger, adjustments, shape), trace.trace_ages(ledger, adjustments, chosen, shape)):
+        assert "Exchange hashpartitioning" not in plan(result)
+
+
+def test_long_runs_are_stored_in_pieces_with_the_same_rows(work):
+    rows, shape = work.shaped
+    long = Shape.of(rows, limit=10)
+    whole, cut = order_runs(rows, shape), order_runs(rows, long)
+    assert "Bucketed: true" in plan(whole.groupBy("loc", "item").count()) and "Bucketed: true" not in plan(cut.groupBy("loc", "item").count())
+    assert whole.select(*cut.columns).exceptAll(cut).isEmpty() and whole.count() == cut.count()
