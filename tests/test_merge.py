@@ -155,3 +155,23 @@ def test_the_second_load_brings_all_sources_and_rows_that_collapse(spark):
     assert {"Sale", "Rtrn", "iSale", "iRtrn", "hSale", "hRtrn", "SICC", "CICC", "Tsh", "StSo", "vRtn"} <= groups
     top = rows.agg(F.max("n"), *[F.count(c) for c in ("md_qty", "sld_val", "md_sld_val", "sld_fee")]).first()
     assert top[0] > 1 and all(top[1:])
+
+
+def test_short_runs_of_a_load_are_staged_by_run(spark, tmp_path, monkeypatch):
+    """Rows, touched runs, state and renumbered part are each a bucketed table; with runs that may be long, none is."""
+    staged = []
+    kept = Shape.store
+    monkeypatch.setattr(Shape, "store", lambda shape, rows, sort=(): staged.append(kept(shape, rows, sort)) or staged[-1])
+    pick = random.Random(9)
+    items = spark.createDataFrame(CODES, "item_code string, item string")
+    first = spark.createDataFrame(activity(pick, 200, 0, 500), ROWS)
+    second = spark.createDataFrame(activity(pick, 30, 500, 600), ROWS)
+    detail = spark.createDataFrame([], DETAIL)
+    want, _ = whole(spark, maintain.append_activity(first, second, RUN2), 4_000_000)
+    for limit, tables in ((4_000_000, 4), (7, 0)):
+        store = merge.LedgerStore(spark, f"{tmp_path}/ledger-{limit}", buckets=4)
+        store.write(whole(spark, first, limit)[0])
+        staged.clear()
+        merge.merge_load(store, detail, second, items, RUN2, limit)
+        assert len(staged) == tables
+        assert told(store.read().drop("bucket")) == told(want)
