@@ -6,11 +6,11 @@ from datetime import datetime
 import pytest
 
 from shelfbook.config import Window
-from shelfbook.operators import diagnostics, trace, windows
+from shelfbook.operators import diagnostics, inbound, trace, windows
 from shelfbook.operators.adjust import set_adjustments
 from shelfbook.operators.ages import ages
 from shelfbook.operators.sequence import Shape, order_runs
-from shelfbook.plans.catalog import AS_OF, Work
+from shelfbook.plans.catalog import AS_OF, SECOND_LOAD, SECOND_RUN, Work
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -74,3 +74,12 @@ def test_long_runs_are_stored_in_pieces_with_the_same_rows(work):
     whole, cut = order_runs(rows, shape), order_runs(rows, long)
     assert "Bucketed: true" in plan(whole.groupBy("loc", "item").count()) and "Bucketed: true" not in plan(cut.groupBy("loc", "item").count())
     assert whole.select(*cut.columns).exceptAll(cut).isEmpty() and whole.count() == cut.count()
+
+
+def test_inbound_tables_that_lie_by_shipment_are_not_shuffled_again(work):
+    ships = work.by_shipment(work.ships(SECOND_LOAD, work.dealt), inbound.SHIPMENT)
+    assert "Exchange hashpartitioning" not in plan(inbound.shipment_rollup(ships))
+    plain = work.ships(SECOND_LOAD)
+    assert ships.exceptAll(plain).isEmpty() and plain.exceptAll(ships).isEmpty()
+    detail = work.by_shipment(work.applied())
+    assert "Exchange hashpartitioning" not in plan(inbound.refresh_shipment_totals(detail, SECOND_RUN))
