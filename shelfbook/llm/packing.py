@@ -9,7 +9,6 @@ from __future__ import annotations
 import base64
 import bisect
 import math
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -111,36 +110,19 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PAD = 50_256  # free in that vocabulary
 CAPACITY = 2048
-CACHED = 400_000  # words whose ids a task keeps
 
 
 class Encoder:
-    """Ids of a text as little-endian 16-bit numbers, with the ids of frequent words kept."""
+    """Ids of a text as little-endian 16-bit numbers. Texts are encoded whole: words repeat too rarely for keeping their ids to pay."""
 
     def __init__(self, ranks: bytes, pattern: str):
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        encoding = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.encode = lambda text: np.array(encoding.encode_ordinary(text), "<u2").tobytes()
-        encode = self.encode
-
-        class Known(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= CACHED:
-                    self.clear()
-                ids = self[word] = encode(" " + word)
-                return ids
-
-        self.known = Known()
-        self.long_gap = re.compile(r"\s{3}")
+        self.encoding = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        # A blank always begins a new piece of the pattern, unless three white-space characters meet.
-        if not text or self.long_gap.search(text):
-            return self.encode(text)
-        first, *rest = text.split(" ")
-        return self.encode(first) + b"".join(map(self.known.__getitem__, rest))
+        return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
 
 
 def _token_pieces(shared, pattern: str, capacity: int, shards: int):

@@ -251,6 +251,20 @@ def test_packing_keeps_every_word(docs, texts):
         assert length in (64, 256) and sum(n for _, n in own) <= length
 
 
+def test_texts_are_encoded_whole(monkeypatch):
+    """One call a text, however many words it has that were not seen before."""
+    import tiktoken
+
+    calls, plain = [], tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(text) or plain(self, text))
+    with open(VOCABULARY, "rb") as file:
+        encoder = Encoder(file.read(), PATTERN)
+    texts = [" ".join(f"w{i}x{j}." for j in range(50)) for i in range(3)] + ["", "a   b  c"]
+    found = [encoder(text) for text in texts]
+    assert calls == texts
+    assert [encoder.encoding.decode(np.frombuffer(ids, "<u2").tolist()) for ids in found] == texts
+
+
 def test_token_matrices_give_the_texts_again(docs, texts):
     import base64
 
