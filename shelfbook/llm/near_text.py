@@ -6,7 +6,8 @@ the child named by its own value there, so two documents stay together with a ch
 Documents that are known to be linked carry a common label, brought up to date before each level, and a node of one label
 is finished. A document outside its node's most frequent label is open. On the first level, nodes with few open documents
 compare those with all others, and in the rest every document is compared with one pivot. After that, what is still
-open in a node is compared with the whole node inside tasks that return only links that join labels; nodes with more
+open in a node is compared with the whole node inside tasks that return only links that join labels, after the likeliest pairs
+of its blocks were confirmed and their labels joined, so that few copies are made for cells; nodes with more
 than ``PAIRS`` such pairs are compared with a pivot and branch again, along one path, so that a document never has more rows
 than it had on the first level, and the copies made for cells grow with a node and not with its square. What is left after the last level is compared in cells of bounded size, however large the node is. A cell compares signatures
 first; only documents with a partner by those are sent to it again with their texts. So a large group of near copies is linked by
@@ -109,6 +110,46 @@ def _suspects(agreeing: int, percent: int):
     return run
 
 
+def _likely(agreeing: int, percent: int):
+    """Of a block of a node's documents: pairs that would join most of its labels, those whose signatures agree most before others."""
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        ids, sizes, labels = (block[c].to_numpy() for c in ("id", "n", "label"))
+        places = block["signature"].combine_chunks().flatten().to_numpy().reshape(-1, PLACES).T
+        alike = np.zeros((len(ids), len(ids)), np.uint8)
+        for place in places:
+            alike += place[:, None] == place
+        n, m = sizes[:, None], sizes
+        near = (alike >= agreeing) & (labels[:, None] != labels) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+        i, j = np.nonzero(np.triu(near))
+        order = np.argsort(-alike[i, j].astype(int), kind="stable")
+        chosen = _joining(labels[i[order]].tolist(), labels[j[order]].tolist())
+        a, b = ids[i[order][chosen]], ids[j[order][chosen]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return run
+
+
+def _joining(left: list[int], right: list[int]) -> list[int]:
+    """Of links between labels, taken in order: the places of those that join labels that the ones before leave apart."""
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = root.get(up, up)
+            v = up
+        return v
+
+    chosen = []
+    for at, (u, v) in enumerate(zip(left, right)):
+        u, v = find(u), find(v)
+        if u != v:
+            root[u] = v
+            chosen.append(at)
+    return chosen
+
+
 def _join_labels(k: int, percent: int):
     """Of a cell: links between its open documents (side 0) and the others, one for each two labels that they join."""
 
@@ -139,21 +180,8 @@ def _join_labels(k: int, percent: int):
         i, j = np.nonzero(near & (labels[x][:, None] != labels[y]))
         a, b = x[i], y[j]
         _, first = np.unique(np.stack([np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])]), axis=1, return_index=True)
-        root: dict[int, int] = {}
-
-        def find(v: int) -> int:
-            while (up := root.get(v, v)) != v:
-                root[v] = root.get(up, up)
-                v = up
-            return v
-
-        links = []
-        for at in first:
-            u, v = find(int(labels[a[at]])), find(int(labels[b[at]]))
-            if u != v:
-                root[u] = v
-                links.append((int(ids[a[at]]), int(ids[b[at]])))
-        return pa.table({"a": pa.array([u for u, _ in links], pa.int64()), "b": pa.array([v for _, v in links], pa.int64())})
+        first = first[_joining(labels[a[first]].tolist(), labels[b[first]].tolist())]
+        return pa.table({"a": pa.array(ids[a[first]], pa.int64()), "b": pa.array(ids[b[first]], pa.int64())})
 
     return run
 
@@ -212,22 +240,28 @@ def _labels(
         classes.select("id", F.col("n_shingles").alias("n"), F.col("id").alias("label"), "signature", at.alias("at"))
         .select("id", "n", "label", F.xxhash64("at", F.get("signature", "at")).alias("node"))
     )
-    labels: DataFrame | None = None
-    candidates: DataFrame | None = None
-    for level in range(1, levels + 1):
-        first, last = level == 1, level == levels
-        # a node's documents by label; all but the most frequent label's are open
-        turn = F.col("id") if first else F.xxhash64("id", "node")
+
+    def open_nodes(rows: DataFrame, turn: Column) -> DataFrame:
+        """A node's documents by label; all but the most frequent label's are open. The pivot is the first of these by ``turn``."""
         by_label = rows.groupBy("node", "label").agg(
             F.count(F.lit(1)).alias("n_label"), F.min(F.struct(turn.alias("turn"), "id", "n")).alias("pivot")
         )
-        nodes = (
+        return (
             by_label.groupBy("node")
             .agg(F.sum("n_label").alias("size"), F.max(F.struct("n_label", "label", "pivot")).alias("most"))
             .select("node", "size", "most.pivot", F.col("most.label").alias("common"), (F.col("size") - F.col("most.n_label")).alias("n_open"))
             .filter("n_open > 0")
         )
-        grown = durable(rows.join(nodes, "node"))
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+
+    labels: DataFrame | None = None
+    candidates: DataFrame | None = None
+    for level in range(1, levels + 1):
+        first, last = level == 1, level == levels
+        turn = F.col("id") if first else F.xxhash64("id", "node")
+        grown = durable(rows.join(open_nodes(rows, turn), "node"))
         is_open = F.col("label") != F.col("common")
         ends_here = F.lit(True) if last else F.col("n_open") <= small if first else F.col("n_open") * F.col("size") <= exhaustive
         large = grown.filter(~ends_here)
@@ -253,31 +287,37 @@ def _labels(
         if first:  # no later level asks for the text of any other document
             wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(large.select("id")).distinct()
             candidates = durable(texts.join(wanted, "doc_id", "left_semi"))
-        asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+        blocks_of = lambda n: F.ceil(F.col(n) / CELL).cast("int")
+        own = lambda n: F.pmod(F.xxhash64("id"), blocks_of(n)).cast("int")
         if not first:
-            blocks_of = lambda n: F.ceil(F.col(n) / CELL).cast("int")
-            own = lambda n: F.pmod(F.xxhash64("id"), blocks_of(n)).cast("int")
-            each = lambda n: F.explode(F.sequence(F.lit(0), blocks_of(n) - 1))
-            held = ("node", "id", "n", "label", "signature")
-            done = grown.filter(ends_here).join(signatures, "id")
-            cells = done.filter(is_open).select(*held, F.lit(0).alias("side"), own("n_open").alias("i"), each("size").alias("j")).union(
-                done.select(*held, F.lit(1).alias("side"), each("n_open").alias("i"), own("size").alias("j"))
-            )
-            # texts go only to cells where the document may have a partner
-            suspects = durable(cells.groupBy("node", "i", "j").applyInArrow(_suspects(agreeing, percent), SUSPECT))
-            asked = asked.union(suspects.select("id"))
+            # likely pairs of bounded blocks first, so that few documents are open when a node meets itself in cells
+            done = durable(grown.filter(ends_here).select("node", "id", "n", "label", "size").join(signatures, "id"))
+            likely = done.withColumn("block", own("size")).groupBy("node", "block")
+            pairs = durable(pairs.union(likely.applyInArrow(_likely(agreeing, percent), "a long, b long")).distinct())
         # a level moves the texts that it asks for, and no others, to its pairs and cells
-        read = candidates.join(durable(asked.distinct()), "doc_id", "left_semi")
+        asked = durable(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+        read = candidates.join(asked, "doc_id", "left_semi")
         confirmed = (
             pairs.join(read.toDF("a", "ta"), "a")
             .join(read.toDF("b", "tb"), "b")
             .select("a", "b", "ta", "tb")
             .mapInArrow(_confirm(k, percent), "a long, b long")
         )
+        labels = components(durable(confirmed), labels)
         if not first:
+            each = lambda n: F.explode(F.sequence(F.lit(0), blocks_of(n) - 1))
+            held = ("node", "id", "n", "label", "signature")
+            now = labelled(done.select("node", "id", "n", "signature"))
+            done = durable(now.join(open_nodes(now, F.col("id")).select("node", "size", "common", "n_open"), "node"))
+            cells = done.filter(is_open).select(*held, F.lit(0).alias("side"), own("n_open").alias("i"), each("size").alias("j")).union(
+                done.select(*held, F.lit(1).alias("side"), each("n_open").alias("i"), own("size").alias("j"))
+            )
+            # texts go only to cells where the document may have a partner
+            suspects = durable(cells.groupBy("node", "i", "j").applyInArrow(_suspects(agreeing, percent), SUSPECT))
+            read = candidates.join(durable(suspects.select(F.col("id").alias("doc_id")).distinct()), "doc_id", "left_semi")
             cells = suspects.join(read.toDF("id", "text"), "id")
-            confirmed = confirmed.union(cells.groupBy("node", "i", "j").applyInArrow(_join_labels(k, percent), "a long, b long"))
-        labels = components(durable(confirmed), labels)
+            joined = cells.groupBy("node", "i", "j").applyInArrow(_join_labels(k, percent), "a long, b long")
+            labels = components(durable(joined), labels)
         if large.isEmpty():
             break
         # each node chooses its place by its own name

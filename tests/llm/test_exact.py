@@ -251,6 +251,27 @@ def test_packing_keeps_every_word(docs, texts):
         assert length in (64, 256) and sum(n for _, n in own) <= length
 
 
+def test_likely_pairs_join_the_labels_of_a_block():
+    """A block of alike documents asks for one pair fewer than it has labels, not for all its pairs."""
+    import pyarrow as pa
+
+    from shelfbook.llm.near_text import PLACES, _likely
+
+    alike, other = list(range(PLACES)), list(range(1000, 1000 + PLACES))
+    near = alike[:-4] + other[:4]
+    rows = [(i, 100, i % 20, alike if i % 2 else near) for i in range(60)] + [(60, 100, 60, other), (61, 10, 61, alike)]
+    block = pa.table(dict(zip(("id", "n", "label", "signature"), map(list, zip(*rows)))))
+    found = _likely(30, 85)(block)
+    label = {i: own for i, _, own, _ in rows}
+    links = [(label[a], label[b]) for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist())]
+    assert len(links) == 19 and all(a < b for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist()))
+    reached = {0}
+    for _ in links:
+        reached |= {x for link in links if reached & set(link) for x in link}
+    assert reached == set(range(20))
+    assert sum(a % 2 != b % 2 for a, b in links) == 1  # the likeliest come first
+
+
 def test_texts_are_encoded_whole(monkeypatch):
     """One call a text, however many words it has that were not seen before."""
     import tiktoken
