@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import random
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from test_merge import CODES, DETAIL, ROWS, RUN2, activity, shipments, told, whole
 
 from shelfbook.config import Window
-from shelfbook.operators import inbound, windows
+from shelfbook.operators import inbound, maintain, merge, windows
 from shelfbook.plans.catalog import SECOND_LOAD, Work
 from shelfbook.session import tune
 
@@ -75,3 +77,28 @@ def test_a_side_that_fits_a_task_is_hashed(spark):
         assert "ShuffledHashJoin" in plan(met).split("== Initial Plan ==")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_news_reach_the_rows_of_a_run_without_the_whole_detail(spark, tmp_path, monkeypatch):
+    """Repeated detail keys, unknown shipments and untouched runs as when every row of a touched run met the whole detail."""
+    pick = random.Random(11)
+    items = spark.createDataFrame(CODES, "item_code string, item string")
+    sold = spark.createDataFrame(activity(pick, 200, 0, 500), ROWS)
+    before = shipments(pick, 0, 40, 0, 500)
+    first = maintain.append_inbound(sold, spark.createDataFrame(before, DETAIL), items, RUN2)
+    unknown = first.filter("shpmt = 'tid000003' OR shpmt = 'tid000004'").withColumn("shpmt", F.lit(None).cast("string"))
+    first = first.unionByName(unknown).localCheckpoint()
+    news = [(*s[:4], s[4] + timedelta(hours=7), s[5], s[6]) for s in before[:6]]
+    twice = [before[6], (*before[6][:4], before[6][4] + timedelta(hours=3), *before[6][5:])]  # one of them is no change
+    detail = spark.createDataFrame(news + twice + before[8:20], DETAIL)
+    ledger, _ = whole(spark, first, 4_000_000)
+    store = merge.LedgerStore(spark, f"{tmp_path}/ledger", buckets=2)
+    store.write(ledger)
+
+    corrected = merge.corrected_rows(first, detail).select("loc", "item").distinct()
+    touched = first.join(corrected, ["loc", "item"], "left_semi")
+    want = maintain.sync_inbound(touched, detail, RUN2).unionByName(first.join(corrected, ["loc", "item"], "left_anti").select(*touched.columns))
+    want, _ = whole(spark, want.localCheckpoint(), 4_000_000)
+    monkeypatch.setattr(maintain, "sync_inbound", None)
+    merge.merge_load(store, detail, sold.limit(0), items, RUN2)
+    assert told(store.read().drop("bucket", "last_update")) == told(want.drop("last_update"))
